@@ -29,12 +29,12 @@ class Ftrl:
     """Parameters. sample_rows bounds the labelled rows that are learnt from; they are the first by a hash of the id."""
 
     bits: int = 20
-    alpha: float = 0.2
+    alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 0.5
+    l1: float = 3.0
     l2: float = 0.1
     rounds: int = 3
-    rows_per_shard: int = 2_000
+    rows_per_shard: int = 4_000
     sample_rows: int = 16_000
 
 
