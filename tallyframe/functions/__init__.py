@@ -1 +1 @@
-"""functions."""
+"""Expressions and their functions."""

@@ -1 +1 @@
-"""operators."""
+"""Verbs of frames."""

@@ -1 +1 @@
-"""plans."""
+"""SQL and the registered queries."""

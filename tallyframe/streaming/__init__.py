@@ -1 +1 @@
-"""streaming."""
+"""Frames over streams."""
