@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tallyframe.errors import EngineError, OrderError
 from tallyframe.functions import dtypes
-from tallyframe.functions.expr import Expr, Place, ValueCounts, col, lit, order_key, plain
+from tallyframe.functions.expr import Expr, Place, ValueCounts, col, lit, order_key
 
 JOINS = ("inner", "left", "right", "full", "semi", "anti", "cross")
 _SPARK_JOIN = {"semi": "left_semi", "anti": "left_anti"}
@@ -55,6 +55,14 @@ class Frame:
             raise OrderError(what)
         return Window.partitionBy(*partition).orderBy(*self._keys(reverse))
 
+    def _first_row(self) -> tuple[Callable[[Column], Column], Column]:
+        """An aggregate that finds a group's first row by the order, and what it compares; an order of one direction is needed."""
+        turned = {d for _, d, _ in self.order}
+        if len(turned) > 1:
+            raise EngineError("INVALID", "first rows need an order of one direction")
+        keys = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, (c, _, _) in enumerate(self.order)])
+        return (F.max if turned == {True} else F.min), keys
+
     def _place(self, **more: Any) -> Place:
         return Place(self.df, self._keys(), **more)
 
@@ -143,9 +151,10 @@ class Frame:
 
     def over_exploded(self, partition: str, *exprs: Expr | str) -> Frame:
         """Expressions over partitions with rows laid out partition by partition, in the order of their first rows: adds _row, which numbers them so."""
-        first = F.min(F.struct(*[plain(k).alias(f"o{i}") for i, k in enumerate(self._keys())])).over(Window.partitionBy(partition))
         if not self.order:
             raise OrderError("over_exploded")
+        pick, keys = self._first_row()
+        first = order_key(pick(keys).over(Window.partitionBy(partition)), self.order[0][1])
         found = [e.over(partition, order_by=[c for c, _, _ in self.order]) if e.reduces else e for e in _exprs(self.df, exprs)]
         rows = self.df.select(*[e.build(self._place()).alias(e.name) for e in found], F.row_number().over(Window.orderBy(first, *self._keys())).alias("_row"))
         return Frame(rows, [("_row", False, False)])
@@ -334,9 +343,10 @@ class Frame:
         key = F.concat_ws(separator, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in on]) if len(on) > 1 else F.col(f"`{on[0]}`")
         rows = self.df.withColumn("_on", key)
         if on_columns is None:
-            seen = rows.groupBy("_on").agg(F.min(F.struct(*[plain(k).alias(f"o{i}") for i, k in enumerate(self._keys())]) if self.order else F.col("_on")).alias("_first"))
+            pick, keys = self._first_row() if self.order else (F.min, F.col("_on"))
+            seen = rows.groupBy("_on").agg(pick(keys).alias("_first"))
             # As many columns as a frame can have: far fewer than rows.
-            found = [r["_on"] for r in seen.orderBy("_first", "_on").collect()]
+            found = [r["_on"] for r in seen.orderBy(order_key(F.col("_first"), bool(self.order) and self.order[0][1]), "_on").collect()]
         else:
             found = [separator.join(str(x) for x in (v.values() if isinstance(v, Mapping) else v)) if len(on) > 1 else v for v in on_columns]
         out = []

@@ -72,7 +72,7 @@ def scan_csv(spark: SparkSession, path: str, has_header: bool = True, separator:
             if long_comment:
                 lines = lines.filter(~F.col("value").startswith(long_comment))
             source = lines.orderBy("i").select("value").rdd.map(lambda r: r[0])
-        if encoding == "utf8" and not spark.read.text(path).filter(F.contains("value", F.lit("�"))).isEmpty():
+        if encoding == "utf8" and not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty():
             raise EngineError("INVALID", f"{path} is not valid UTF-8")
         sample = source
         if infer_rows is not None:

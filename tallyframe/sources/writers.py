@@ -29,7 +29,7 @@ def memory_limit() -> int | None:
 
 def _guarded(frame: Frame):
     if _limit_bytes is not None:
-        size = int(frame.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(frame.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         if size > _limit_bytes:
             raise EngineError("OOM", f"the result may take {size} bytes; the limit is {_limit_bytes}")
     return frame.df.orderBy(*frame._keys()) if frame.order else frame.df
