@@ -254,7 +254,8 @@ def similar_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     unique integers; further columns are not read. Shingles are compared by 64-bit hashes.
     """
     base = keep(_sets(documents, id_col, text_col, words, percent), "sets")
-    nodes = base.filter("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
+    # Stored, so that the join shuffles it anew and adaptive execution can split a large group of equal sets.
+    nodes = keep(base.filter("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep")), "nodes")
     named = base.select("id", "n", "k1", "k2").join(nodes, ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     named = keep(named, "named")
     alone = named.filter("id = rep and n > 0").select("id")
