@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import LOWER, WORDLIKE, keep, lists, mix, texts
+from tallyframe.llm.common import LOWER, WORDLIKE, keep, mix, texts
 
 STEMS = (4, 5)
 
@@ -88,7 +88,7 @@ def _learn(rows: list[np.ndarray], labels: np.ndarray, z: np.ndarray, n: np.ndar
     """One pass over the rows; the last coordinate is the bias, which has no L1."""
     l1 = np.append(np.full(1 << p.bits, p.l1), 0.0)
     for x, y in zip(rows, labels, strict=True):
-        x = np.append(x, 1 << p.bits)
+        x = np.append(x.astype(np.int64), 1 << p.bits)
         zx, nx, l1x = z[x], n[x], l1[x]
         w = np.where(np.abs(zx) <= l1x, 0.0, (np.sign(zx) * l1x - zx) / ((p.beta + np.sqrt(nx)) / p.alpha + p.l2))
         g = _sigmoid(w.sum()) - y
@@ -108,17 +108,8 @@ def train(documents: DataFrame, labels: DataFrame, params: Ftrl | None = None, i
     good = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_label in (0, 1) and _id is not null")
     known = good.orderBy(F.xxhash64("_id"), "_id", "_label").limit(p.sample_rows)
     rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id")
-
-    def extract(batches):
-        for b in batches:
-            ids, label = b.column(0), b.column(2)
-            for piece in texts(b.column(1)):
-                r, f = _distinct(*_features(piece, p.bits), p.bits)
-                at = slice(piece.first, piece.first + len(piece))
-                yield pa.RecordBatch.from_arrays([ids[at], label[at], lists(f.astype(np.int32), np.searchsorted(r, np.arange(len(piece) + 1)), pa.int32())], ["_id", "_label", "x"])
-
-    kind = documents.schema[id_col].dataType.simpleString()
-    sample = keep(rows.select("_id", "_text", "_label").mapInArrow(extract, f"_id {kind}, _label int, x array<int>"), "sample")
+    # Texts and not features, which are some times as large and quickly made again.
+    sample = keep(rows.select("_id", "_text", "_label"), "sample")
     size = (1 << p.bits) + 1
     z, n = np.zeros(size), np.zeros(size)
     shards_wanted = max(1, -(-sample.count() // p.rows_per_shard))
@@ -129,18 +120,20 @@ def train(documents: DataFrame, labels: DataFrame, params: Ftrl | None = None, i
             mine_z, mine_n = (a.copy() for a in state.value)
             seen = []
             for b in batches:
-                x = b.column("x")
-                values, starts = x.flatten().to_numpy().astype(np.int64), x.offsets.to_numpy()
-                values_at = starts - starts[0]
-                seen += [(values[values_at[i] : values_at[i + 1]], y, i) for i, y in enumerate(b.column("_label").to_pylist())]
+                label = b.column("_label").to_pylist()
+                for piece in texts(b.column("_text")):
+                    row, feature = _distinct(*_features(piece, p.bits), p.bits)
+                    at = np.searchsorted(row, np.arange(len(piece) + 1))
+                    feature = feature.astype(np.int32)
+                    seen += [(feature[at[i] : at[i + 1]], label[piece.first + i]) for i in range(len(piece))]
             if seen:
                 order = np.random.default_rng(turn).permutation(len(seen))
                 _learn([seen[i][0] for i in order], np.array([seen[i][1] for i in order], dtype=float), mine_z, mine_n, p)
                 at = np.flatnonzero(mine_n > 0)
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(mine_z[at]), pa.array(mine_n[at])], ["i", "z", "n"])
 
-        shards = sample.repartition(shards_wanted, F.xxhash64("_id", F.lit(turn))).sortWithinPartitions("_id", "_label")
-        got = shards.select("_label", "x").mapInArrow(learn, "i int, z double, n double").groupBy("i").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
+        shards = sample.repartition(shards_wanted).sortWithinPartitions("_id", "_label")
+        got = shards.select("_label", "_text").mapInArrow(learn, "i int, z double, n double").groupBy("i").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
         at = got.column("i").to_numpy()
         z, n = np.zeros(size), np.zeros(size)
         z[at], n[at] = got.column("z").to_numpy(), got.column("n").to_numpy()
