@@ -28,7 +28,7 @@ STEMS = (4, 5)
 class Ftrl:
     """Parameters. sample_rows bounds the labelled rows that are learnt from; they are the first by a hash of the id."""
 
-    bits: int = 20
+    bits: int = 18
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 3.0
