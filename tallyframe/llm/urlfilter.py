@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import keep
+from tallyframe.llm.common import keep, mix
 
 MAX_LEVELS = 60
 
@@ -47,8 +47,10 @@ def candidate_keys(h: Column, p: Column, lengths: list[int]) -> Column:
 
 def _bits(h1: np.ndarray, h2: np.ndarray, level: int, size: int, hashes: int) -> np.ndarray:
     """The places of each key in a filter, one row for each hash."""
-    a, b = h1.astype(np.int64).view(np.uint64), h2.astype(np.int64).view(np.uint64) | np.uint64(1)
-    return np.stack([(a + (b ^ np.uint64(level * 0x9E3779B9)) * np.uint64(i + 1) + np.uint64(level * level * 7919)) % np.uint64(size) for i in range(hashes)])
+    # Mixed anew for each level: keys that fall together in one filter must part in the next.
+    turn = mix(np.array([level + 1], dtype=np.uint64))
+    a, b = mix(h1.astype(np.int64).view(np.uint64) + turn), mix(h2.astype(np.int64).view(np.uint64) ^ turn) | np.uint64(1)
+    return np.stack([(a + b * np.uint64(i)) % np.uint64(size) for i in range(hashes)])
 
 
 def passes(levels: list[tuple[int, int, np.ndarray]], h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
