@@ -71,7 +71,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """doc_id, item_id, item_tokens, matched_tokens, overlap for each document that holds at least min_overlap of an item.
 
     Tokens are words in lower case. An item token counts as matched if the document has it at its
-    place in some alignment on which MIN_RUN tokens (or all, of a shorter item) are equal. Items of
+    place in some alignment that a seed hit, so somewhere a whole window must meet a mask, and on which MIN_RUN tokens (or all, of a shorter item) are equal. Items of
     fewer than SPAN tokens have no seeds and are not looked for; null and empty texts hold and match
     nothing. Documents and items may repeat: ids are expected to be unique, rows with equal ids and
     different texts are compared one by one and the best overlap counts. Rows with null ids are
