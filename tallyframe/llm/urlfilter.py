@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,22 +131,24 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str
     universe = keep(corpus.unionAll(own).groupBy("h1", "h2").agg(F.max("block").alias("block"), F.max("allow").alias("allow")), "url_keys")
     both = spark.sparkContext.broadcast({v: cascade(universe, v) for v in ("block", "allow")})
 
-    @F.pandas_udf("struct<place: int, verdict: string>")
-    def member(h1: pd.Series, h2: pd.Series) -> pd.DataFrame:
-        sizes = h1.map(len).to_numpy(np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        flat = [np.concatenate([np.asarray(x, dtype=np.int64) for x in s]) if starts[-1] else np.empty(0, np.int64) for s in (h1, h2)]
-        hit = {v: passes(levels, *flat) % 2 == 1 for v, levels in both.value.items()}
-        any_hit = hit["block"] | hit["allow"]
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        place, verdict = np.full(len(sizes), -1), np.full(len(sizes), default, dtype=object)
-        at = np.flatnonzero(any_hit)[::-1]  # the first, which is the longest, is written last
-        place[row[at]] = at - starts[row[at]]
-        verdict[row[at]] = np.where(hit["block"][at], "block", "allow")
-        return pd.DataFrame({"place": place.astype(np.int32), "verdict": verdict})
-
-    added = {"host": host(F.col(url_col)), "path": path(F.col(url_col))}
-    found = member(F.transform(keys, lambda k: F.xxhash64(k)), F.transform(keys, lambda k: F.xxhash64(k, F.lit(1))))
-    rows = pages.select(*[c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")], *[c.alias(n) for n, c in added.items()], found.alias("_found"))
-    again = candidate_keys(F.col("host"), F.col("path"), lengths)
-    return rows.withColumns({"rule": F.when(F.col("_found.place") >= 0, F.get(again, F.col("_found.place"))), "verdict": F.col("_found.verdict")}).drop("_found")
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    names = [f"_c{i}" for i in range(len(kept))]
+    found = {"host": host(F.col(url_col)), "path": path(F.col(url_col)), "_keys": keys, "_h1": F.transform(keys, lambda k: F.xxhash64(k)), "_h2": F.transform(keys, lambda k: F.xxhash64(k, F.lit(1)))}
+    rows = pages.select(*[F.col(c).alias(n) for c, n in zip(kept, names, strict=True)], *[c.alias(n) for n, c in found.items()])
+
+    def judge(batches):
+        for b in batches:
+            starts = b.column("_keys").offsets.to_numpy()
+            starts = starts - starts[0]
+            flat = [b.column(c).flatten().to_numpy() for c in ("_h1", "_h2")]
+            hit = {v: passes(levels, *flat) % 2 == 1 for v, levels in both.value.items()}
+            row = np.repeat(np.arange(b.num_rows), np.diff(starts))
+            place, verdict = np.full(b.num_rows, -1), np.full(b.num_rows, default, dtype=object)
+            at = np.flatnonzero(hit["block"] | hit["allow"])[::-1]  # the first of a row, which is the longest, is written last
+            place[row[at]] = at
+            verdict[row[at]] = np.where(hit["block"][at], "block", "allow")
+            rule = b.column("_keys").flatten().take(pa.array(place, mask=place < 0))
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in (*names, "host", "path")], rule, pa.array(verdict, pa.string())], [*names, "host", "path", "rule", "verdict"])
+
+    kinds = "".join(f"{n} {pages.schema[c].dataType.simpleString()}, " for c, n in zip(kept, names, strict=True))
+    return rows.mapInArrow(judge, kinds + "host string, path string, rule string, verdict string").toDF(*kept, "host", "path", "rule", "verdict")
