@@ -7,8 +7,8 @@ of 3 cells each: in at least one part such sets differ by one shingle at most, s
 least two of its three cells. Each set therefore has a signature for each part and each pair of its
 cells, in its own band and in the next, and any two similar sets share one.
 
-1. Equal sets collapse to one row, of their smallest id, with the signatures as a column.
-2. A task keeps one row of each signature among the rows of a batch, and links the others to it;
+1. Equal sets collapse to one row, of their smallest id, of which alone the signatures are made.
+2. A task keeps one row of each signature among the rows of a batch, and ties the others to it;
    what is left is sorted by signature, and each run is linked to its first. So a signature of any
    number of rows costs one candidate for each of them, and no task sees them all.
 3. Candidates are verified on whole sets; the links' components follow.
@@ -111,39 +111,45 @@ def signatures(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np
     return found[order], np.searchsorted(rows[order], np.arange(len(sizes) + 1))
 
 
-def _sets(documents: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """(id, n, k1, k2, sigs) of each document: its set's size, 128-bit hash and signatures."""
+def _sets(documents: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, n, k1, k2) of each document: its set's size and 128-bit hash."""
 
     def run(batches):
         for b in batches:
             for piece in texts(b.column(1)):
                 values, starts = shingle_sets(piece, words)
-                sigs, at = signatures(values, starts, percent)
                 row = np.repeat(np.arange(len(piece)), np.diff(starts))
                 k1 = _sums(row, values, len(piece))
                 k2 = _sums(row, mix(values + np.uint64(77)), len(piece))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[piece.first : piece.first + len(piece)], pa.array(np.diff(starts)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists(sigs.view(np.int64), at, pa.int64())], ["id", "n", "k1", "k2", "sigs"]
-                )
+                yield pa.RecordBatch.from_arrays([b.column(0)[piece.first : piece.first + len(piece)], pa.array(np.diff(starts)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], ["id", "n", "k1", "k2"])
 
-    return documents.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n long, k1 long, k2 long, sigs array<long>")
+    return documents.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n long, k1 long, k2 long")
 
 
-def _thin(batches):
-    """Of a batch's rows of a signature, one stays as (sig, id, null); the others become candidates (null, id, hub)."""
-    for b in batches:
-        sigs, ids = b.column("sigs"), b.column("id").to_numpy(zero_copy_only=False)
-        sig = sigs.flatten().to_numpy(zero_copy_only=False)
-        who = np.repeat(ids, np.diff(sigs.offsets.to_numpy()))
-        order = np.lexsort((who, sig))
-        sig, who = sig[order], who[order]
-        head = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
-        hub = who[head][np.cumsum(head) - 1] if len(sig) else who
-        other = np.unique(np.stack([hub[~head], who[~head]]), axis=1)
-        other = other[:, other[0] != other[1]]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[head]), pa.array(who[head]), pa.array(np.full(int(head.sum()), None), pa.int64())], ["sig", "id", "hub"])
-        if other.shape[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(other.shape[1], None), pa.int64()), pa.array(other[1]), pa.array(other[0])], ["sig", "id", "hub"])
+def _signed(documents: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(sig, id) of the documents with these ids. Of a batch's rows of a signature the first stays; each other one gets a signature of its own that it shares with the first alone."""
+
+    def run(batches):
+        for b in batches:
+            found, owners = [], []
+            for piece in texts(b.column(1)):
+                sigs, at = signatures(*shingle_sets(piece, words), percent)
+                found.append(sigs)
+                owners.append(np.repeat(b.column(0)[piece.first : piece.first + len(piece)].to_numpy(zero_copy_only=False), np.diff(at)))
+            if not found:
+                continue
+            sig, who = np.concatenate(found), np.concatenate(owners)
+            order = np.argsort(sig, kind="stable")
+            sig, who = sig[order], who[order]
+            head = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
+            hub = who[head][np.cumsum(head) - 1] if len(sig) else who
+            pair = np.unique(np.stack([hub[~head], who[~head]]), axis=1)
+            pair = pair[:, pair[0] != pair[1]]
+            own = mix(mix(pair[0].astype(np.int64).view(np.uint64)) + pair[1].astype(np.int64).view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([sig[head], own, own]).view(np.int64)), pa.array(np.concatenate([who[head], pair[0], pair[1]]).astype(np.int64))], ["sig", "id"])
+
+    rows = documents.select(F.col(id_col).cast("long").alias("id"), text_col).join(small(ids, BROADCAST_ROWS), "id", "left_semi")
+    return rows.mapInArrow(run, "sig long, id long")
 
 
 def _runs(batches):
@@ -253,16 +259,14 @@ def similar_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     sets among them. Null and empty texts have an empty set and link with nothing. Ids must be
     unique integers; further columns are not read. Shingles are compared by 64-bit hashes.
     """
-    base = keep(_sets(documents, id_col, text_col, words, percent), "sets")
+    base = keep(_sets(documents, id_col, text_col, words), "sets")
     # Stored, so that the join shuffles it anew and adaptive execution can split a large group of equal sets.
-    nodes = keep(base.filter("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep")), "nodes")
-    named = base.select("id", "n", "k1", "k2").join(nodes, ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
+    nodes = keep(base.filter("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "nodes")
+    named = base.join(nodes.drop("n"), ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     named = keep(named, "named")
-    alone = named.filter("id = rep and n > 0").select("id")
-    sigs = keep(base.select("id", "sigs").filter("size(sigs) > 0").join(alone, "id", "left_semi").mapInArrow(_thin, "sig long, id long, hub long"), "signatures")
-    kept = sigs.filter("sig is not null").select("sig", "id").repartition("sig").sortWithinPartitions("sig", "id")
-    pairs = kept.mapInArrow(_runs, "hub long, id long").unionAll(sigs.filter("sig is null").select("hub", "id"))
-    pairs = keep(pairs.distinct(), "candidates")
+    alone = nodes.filter(F.col("n") * (100 - percent) >= percent).select(F.col("rep").alias("id"))
+    signed = _signed(documents, alone, id_col, text_col, words, percent).repartition("sig").sortWithinPartitions("sig", "id")
+    pairs = keep(signed.mapInArrow(_runs, "hub long, id long").distinct(), "candidates")
     involved = pairs.select(F.explode(F.array("hub", "id")).alias("id")).distinct()
     values = keep(_values(documents, involved, id_col, text_col, words), "values")
     both = pairs.join(values, "id").join(values.select(F.col("id").alias("hub"), F.col("v").alias("w")), "hub")
