@@ -7,6 +7,10 @@ of 3 cells each: in at least one part such sets differ by one shingle at most, s
 least two of its three cells. Each set therefore has a signature for each part and each pair of its
 cells, in its own band and in the next, and any two similar sets share one.
 
+Some parts are spare: with s more parts, similar sets agree so in s + 1 parts at least. A set of
+which at most s parts have a pair of cells with no more than one shingle leaves those pairs out; the
+others still meet, and unrelated sets no longer meet in nothing.
+
 1. Equal sets collapse to one row, of their smallest id, of which alone the signatures are made.
 2. A task keeps one row of each signature among the rows of a batch, and ties the others to it;
    what is left is sorted by signature, and each run is linked to its first. So a signature of any
@@ -92,20 +96,27 @@ def signatures(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np
     for extra in (0, 1):
         band = own + extra
         k = most_different(ends[np.minimum(band, len(ends) - 1)], percent)
-        parts = np.where((sizes > 0) & (k > 0), (k + 2) // 2, 0)
+        need = np.where((sizes > 0) & (k > 0), (k + 2) // 2, 0)
+        spare = np.where(need >= 3, 1 + need // 8, 0)
+        parts = need + spare
         first = np.concatenate([[0], np.cumsum(parts * CELLS)])
         row = np.repeat(np.arange(len(sizes)), sizes)
         use = parts[row] > 0
         many = (parts * CELLS).astype(np.uint64)[row[use]]
         cell = first[row[use]] + (mix(values[use] + band.astype(np.uint64)[row[use]]) % many).astype(np.int64)
         sums = _sums(cell, mixed[use], int(first[-1])).reshape(-1, CELLS)
+        held = np.bincount(cell, minlength=int(first[-1])).reshape(-1, CELLS)
+        # Pairs of cells with a shingle at most are shared by chance: sets with few of them leave them out.
+        thin = held.sum(1, keepdims=True) - held <= 1
         owner = np.repeat(np.arange(len(sizes)), parts)
         place = np.arange(len(owner)) - (first // CELLS)[owner]
         tag = mix((band.astype(np.uint64)[owner] << np.uint64(40)) + (place.astype(np.uint64) << np.uint64(2)))
+        few = np.bincount(owner[thin.any(1)], minlength=len(sizes)) <= spare
         for skip in range(CELLS):
             a, b = [c for c in range(CELLS) if c != skip]
-            found.append(mix(sums[:, a] * np.uint64(3) + sums[:, b] * np.uint64(7) + tag + np.uint64(skip)))
-            rows.append(owner)
+            out = ~(thin[:, skip] & few[owner])
+            found.append(mix(sums[out, a] * np.uint64(3) + sums[out, b] * np.uint64(7) + tag[out] + np.uint64(skip)))
+            rows.append(owner[out])
     found, rows = np.concatenate(found), np.concatenate(rows)
     order = np.argsort(rows, kind="stable")
     return found[order], np.searchsorted(rows[order], np.arange(len(sizes) + 1))
