@@ -8,8 +8,8 @@ least two of its three cells. Each set therefore has a signature for each part a
 cells, in its own band and in the next, and any two similar sets share one.
 
 Some parts are spare: with s more parts, similar sets agree so in s + 1 parts at least. A set of
-which at most s parts have a pair of cells with no more than one shingle leaves those pairs out; the
-others still meet, and unrelated sets no longer meet in nothing.
+which at most s parts have an empty pair of cells leaves those pairs out; the others still meet, and
+unrelated sets no longer meet in nothing.
 
 1. Equal sets collapse to one row, of their smallest id, of which alone the signatures are made.
 2. A task keeps one row of each signature among the rows of a batch, and ties the others to it;
@@ -106,8 +106,8 @@ def signatures(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np
         cell = first[row[use]] + (mix(values[use] + band.astype(np.uint64)[row[use]]) % many).astype(np.int64)
         sums = _sums(cell, mixed[use], int(first[-1])).reshape(-1, CELLS)
         held = np.bincount(cell, minlength=int(first[-1])).reshape(-1, CELLS)
-        # Pairs of cells with a shingle at most are shared by chance: sets with few of them leave them out.
-        thin = held.sum(1, keepdims=True) - held <= 1
+        # Empty pairs of cells are shared by chance: sets with few of them leave them out.
+        thin = held.sum(1, keepdims=True) == held
         owner = np.repeat(np.arange(len(sizes)), parts)
         place = np.arange(len(owner)) - (first // CELLS)[owner]
         tag = mix((band.astype(np.uint64)[owner] << np.uint64(40)) + (place.astype(np.uint64) << np.uint64(2)))
