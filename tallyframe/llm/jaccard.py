@@ -241,7 +241,8 @@ def _packed(rows: DataFrame, salt: str) -> DataFrame:
 def _block_links(batches, percent: int):
     """(hub, id) of the similar rows of two blocks that are in different components."""
     for b in batches:
-        for r in b.to_pylist():
+        for n in range(b.num_rows):  # one at a time: as Python lists a batch would be many times its size
+            r = b.slice(n, 1).to_pylist()[0]
             sizes, other_sizes = np.array(r["sizes"]), np.array(r["sizes2"])
             vocabulary, place = np.unique(np.array(r["v"] + r["v2"], dtype=np.int64), return_inverse=True)
             split = len(r["v"])
