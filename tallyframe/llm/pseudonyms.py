@@ -10,7 +10,9 @@ national   ddd-dd-dddd with an area of 001-899 but 666, group 01-99, serial 0001
 addresses  dotted quads of 0-255: permuted among all
 dates      yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy from 1800 to 2199: permuted among these days
 mail       the part before the @: letters and digits permuted within their classes
-secrets    hexadecimal values after password=, token= and the like, and access keys: permuted within their alphabet
+secrets    values of 8 letters, digits and + / _ - or more after password=, TOKEN = " and the like, and access keys: hexadecimal
+           ones permuted within their alphabet, others within their classes; without a quote or a = right before it, a value
+           needs a digit, 8 hexadecimal letters or 20 characters, as words follow a colon too
 """
 
 from __future__ import annotations
@@ -22,9 +24,12 @@ from tallyframe.llm.common import let
 
 ROUNDS = 5  # of two steps each
 
+#: What stands before a secret, up to its quote.
+_LEAD = r"(?i:password|passwd|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|token|api[_-]?key)[\"']?[ \t]{0,8}(?::=|=>|[=:])[ \t]{0,8}"
+_QUOTE, _LETTER = "[\"'`]", "[0-9A-Za-z+/_-]"
 PATTERNS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)[=:])[0-9a-f]{8,}(?![0-9A-Za-z])",
+    "secret": rf"{_LEAD}(?:{_QUOTE}|(?<==)|(?=[0-9a-f]{{8}}|[A-Za-z+/_-]*+\d|{_LETTER}{{20}}))(?!(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![0-9A-Za-z])){_LETTER}{{8,}}+(?:\.{_LETTER}++)*+={{0,2}}+(?!@)",
     "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[A-Z0-9]{16}(?![0-9A-Za-z])",
     "address": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
     "iso_date": r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])",
@@ -36,6 +41,7 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
+WALK = 32
 _FIRST_DAY, _DAYS_LEFT, _DAYS_RIGHT = "1800-01-01", 189, 773  # 189 * 773 days are 400 years
 
 
@@ -84,6 +90,22 @@ def permuted_string(key: str, kind: str, text: Column, alphabets: tuple[str, ...
     return let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn), lambda done: F.concat(done["l"], done["r"]))
 
 
+def _walked(key: str, kind: str, text: Column, alphabets: tuple[str, ...], away: str) -> Column:
+    """permuted_string among the texts that don't match away: permuted again while it does."""
+    again = lambda x, _: F.when(x.rlike(away), permuted_string(key, kind, x, alphabets)).otherwise(x)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), permuted_string(key, kind, text, alphabets), again)
+
+
+def _secret(key: str, m: Column) -> Column:
+    lead = F.regexp_extract(m, rf"^({_LEAD}{_QUOTE}?)", 1)
+
+    def new(value):
+        lower, upper, other = permuted_string(key, "secret", value, (HEX,)), _walked(key, "upper secret", value, (HEX.upper(),), r"^\d+$"), _walked(key, "any secret", value, (LOWER, UPPER, DIGITS), r"^(?:[0-9a-f]+|[0-9A-F]+)$")
+        return F.when(value.rlike("^[0-9a-f]+$"), lower).when(value.rlike("^[0-9A-F]+$"), upper).otherwise(other)
+
+    return let(F.substr(m, F.length(lead) + 1, F.length(m)), lambda value: F.concat(lead, new(value)))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
@@ -171,7 +193,8 @@ def pseudonym(m: Column, key: str) -> Column:
     at = F.instr(m, "@")
     whole = lambda kind: m.rlike(rf"^(?:{PATTERNS[kind]})$")
     return (
-        F.when(at > 0, F.concat(permuted_string(key, "mail", F.substr(m, F.lit(1), at - 1), (LOWER, UPPER, DIGITS)), F.substr(m, at, F.length(m))))
+        F.when(whole("secret"), _secret(key, m))
+        .when(at > 0, F.concat(permuted_string(key, "mail", F.substr(m, F.lit(1), at - 1), (LOWER, UPPER, DIGITS)), F.substr(m, at, F.length(m))))
         .when(whole("key"), F.concat(F.substr(m, F.lit(1), F.lit(4)), permuted_string(key, "key", F.substr(m, F.lit(5), F.length(m)), (UPPER + DIGITS,))))
         .when(whole("address"), _address(key, m))
         .when(whole("iso_date"), _date(key, m, "yyyy-MM-dd"))
@@ -180,7 +203,7 @@ def pseudonym(m: Column, key: str) -> Column:
         .when(whole("national"), _national(key, m))
         .when(whole("phone"), _phone(key, m))
         .when(whole("card"), _card(key, m))
-        .otherwise(permuted_string(key, "secret", m, (HEX,)))
+        .otherwise(m)
     )
 
 
@@ -194,7 +217,7 @@ def pseudonymise(documents: DataFrame, key: str, text_col: str = "text", count_c
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(f"({ANY})"), 1)
     parts = F.split(text, ANY, -1)
-    has = text.rlike("[0-9@]") & text.rlike(ANY)
+    has = text.rlike("[0-9@=:]") & text.rlike(ANY)
     joined = F.array_join(F.zip_with("_parts", "_new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     # An array that is used twice is a column of its own, or it would be computed twice.
     rows = documents.withColumns({"_found": F.when(has, found), "_parts": F.when(has, parts)})
