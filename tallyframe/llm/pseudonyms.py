@@ -5,7 +5,7 @@ network, so that equal values stay equal in all documents, different ones stay d
 pseudonym is a valid value of the same kind. All of it is built-in functions of Spark SQL.
 
 cards      13 to 19 digits, spaces or hyphens allowed, right check digit: first digit kept, the others permuted, check digit made anew
-phones     North American numbers with an area code and exchange of 2-9 first: permuted among these
+phones     numbers of North American form: those with an area code and exchange of 2-9 first permuted among these, all others among the others
 national   ddd-dd-dddd with an area of 001-899 but 666, group 01-99, serial 0001-9999: permuted among these
 addresses  dotted quads of 0-255: permuted among all
 dates      yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy from 1800 to 2199: permuted among these days
@@ -154,12 +154,19 @@ def _card(key: str, m: Column) -> Column:
 def _phone(key: str, m: Column) -> Column:
     d = F.substr(_digits(m), F.length(_digits(m)) - 9, F.lit(10))
     area, exchange, line = _part(d, 1, 3) - 200, _part(d, 4, 3) - 200, _part(d, 7, 4)
+    fits = (area >= 0) & (exchange >= 0)
     hundred = F.lit(100)
     moved = feistel(key, "phone", area * 100 + F.floor(line / hundred), exchange * 100 + line % 100, F.lit(80_000), F.lit(80_000))
     upper = lambda x: F.floor(x / hundred).cast("long")
     new = let(moved, lambda x: F.concat(_padded(upper(x["l"]) + 200, 3), _padded(upper(x["r"]) + 200, 3), _padded(x["l"] % 100, 2), _padded(x["r"] % 100, 2)))
+    # The others: 200 areas with 1000 exchanges each, then 800 areas with 200 each.
+    place = F.when(area < 0, (area + 200) * 1000 + exchange + 200).otherwise(200_000 + area * 200 + exchange + 200)
+    spare = feistel(key, "other phone", place, line, F.lit(360_000), F.lit(10_000))
+    areas = lambda x: F.when(x < 200_000, F.floor(x / 1000)).otherwise(F.floor((x - 200_000) / 200) + 200).cast("long")
+    exchanges = lambda x: F.when(x < 200_000, x % 1000).otherwise((x - 200_000) % 200)
+    other = let(spare, lambda x: F.concat(_padded(areas(x["l"]), 3), _padded(exchanges(x["l"]), 3), _padded(x["r"], 4)))
     lead = F.substr(_digits(m), F.lit(1), F.length(_digits(m)) - 10)
-    return F.when((area >= 0) & (exchange >= 0), _filled(m, F.concat(lead, new))).otherwise(m)
+    return _filled(m, F.concat(lead, F.when(fits, new).otherwise(other)))
 
 
 def _national(key: str, m: Column) -> Column:

@@ -325,6 +325,15 @@ def test_secrets_in_all_their_forms(spark):
     assert key[1].text == "secret=" + key[0].text and mail[1].text == "password=" + mail[0].text
 
 
+def test_phones_of_all_areas(spark):
+    rng = random.Random(29)
+    phones = sorted({f"+1 ({rng.randrange(1000):03d}) {rng.randrange(1000):03d}-{rng.randrange(10000):04d}" for _ in range(300)} | {"+1 (000) 000-0000", "+1 (199) 999-9999", "+1 (200) 000-0000", "+1 (999) 199-9999"})
+    got = [r.text for r in pseudonyms.pseudonymise(documents(spark, phones), "key").orderBy("doc_id").collect()]
+    assert len({*got}) == len(phones) and all(a != b for a, b in zip(phones, got, strict=True))
+    valid = lambda x: bool(re.fullmatch(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}", x))
+    assert all(re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", b) and valid(a) == valid(b) for a, b in zip(phones, got, strict=True))
+
+
 # 7. Sentence spans
 
 
