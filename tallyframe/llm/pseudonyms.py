@@ -4,7 +4,8 @@ A value is found by its pattern, validated, and permuted within its format by a
 network, so that equal values stay equal in all documents, different ones stay different, and a
 pseudonym is a valid value of the same kind. All of it is built-in functions of Spark SQL.
 
-cards      13 to 19 digits, spaces or hyphens allowed, right check digit: first digit kept, the others permuted, check digit made anew
+cards      13 to 19 digits, spaces or hyphens allowed, right check digit: first digit kept, the others permuted, check digit made anew;
+           looked for last, in all runs of whole groups of what lies between the other values, usual groupings first
 phones     numbers of North American form: those with an area code and exchange of 2-9 first permuted among these, all others among the others
 national   ddd-dd-dddd with an area of 001-899 but 666, group 01-99, serial 0001-9999: permuted among these
 addresses  dotted quads of 0-255: permuted among all
@@ -37,9 +38,11 @@ PATTERNS = {
     "slashed_date": r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])",
     "national": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d(])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
-    "card": r"(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z])",
 }
 ANY = "|".join(PATTERNS.values())
+#: Groups of digits with 13 digits or more; a group beside a letter is none.
+CHAIN = r"(?<![\dA-Za-z])(?=\d(?:[ -]?\d){12})\d++(?![A-Za-z])(?:[ -]\d++(?![A-Za-z]))*+"
+_USUAL = r"^\d+$|^\d{4}([ -])\d{4}\1\d{4}\1\d{4}(\1\d{3})?$|^\d{4}([ -])\d{6}\3\d{4,5}$"
 DIGITS, LOWER, UPPER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 WALK = 32
 _FIRST_DAY, _DAYS_LEFT, _DAYS_RIGHT = "1800-01-01", 189, 773  # 189 * 773 days are 400 years
@@ -148,7 +151,52 @@ def _card(key: str, m: Column) -> Column:
     body = let(moved, lambda x: F.concat(F.substr(d, F.lit(1), F.lit(1)), _padded(x["l"], u), _padded(x["r"], v)))
     check = lambda x: F.pmod(F.lit(10) - luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10))
     new = let(body, lambda x: F.concat(x, check(x).cast("string")))
-    return F.when(luhn_sum(d) % 10 == 0, _filled(m, new)).otherwise(m)
+    return _filled(m, new)
+
+
+def _cards(key: str, chain: Column) -> Column:
+    """struct(text, n): a chain of groups of digits with its n cards replaced.
+
+    Runs of whole groups with 13 to 19 digits and the right check digit are cards, those grouped as
+    cards usually are before others, then earlier and longer ones before those that overlap them.
+    """
+    # Groups with the separator behind them; no run of more than 19 groups has 19 digits.
+    groups = F.regexp_extract_all(chain, F.lit(r"(\d+[ -]?)"), 1)
+
+    def runs(g, i):
+        def run(j):
+            text = F.regexp_replace(F.array_join(F.slice(g, i + 1, j - i + 1), ""), "[ -]$", "")
+            return F.struct(F.when(text.rlike(_USUAL), 0).otherwise(1).alias("rank"), i.alias("i"), (-j).alias("to"), text.alias("text"))
+
+        found = F.transform(F.sequence(i, F.least(i + 18, F.size(g) - 1)), run)
+        return F.filter(found, lambda x: F.length(_digits(x["text"])).between(13, 19) & (luhn_sum(_digits(x["text"])) % 10 == 0))
+
+    def pick(have, x):
+        clash = F.exists(have, lambda y: (x["i"] <= -y["to"]) & (y["i"] <= -x["to"]))
+        return F.when(clash, have).otherwise(F.concat(have, F.array(x)))
+
+    def replaced(g, picks):
+        def one(x, k):
+            own = F.get(F.filter(picks, lambda p: (p["i"] <= k) & (k <= -p["to"])), F.lit(0))
+            end = F.regexp_replace(x, r"\d", "")
+            return let(own, lambda p: F.when(p.isNull(), x).otherwise(F.concat(F.when(p["i"] == k, p["new"]).otherwise(""), F.when(k == -p["to"], end).otherwise(""))))
+
+        return F.array_join(F.transform(g, one), "")
+
+    def done(g):
+        found = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size(g) - 1), lambda i: runs(g, i))))
+        picks = let(found, lambda all_runs: F.aggregate(all_runs, F.slice(all_runs, 1, 0), pick))
+        new = F.transform(picks, lambda p: F.struct(p["i"].alias("i"), p["to"].alias("to"), _card(key, p["text"]).alias("new")))
+        return let(new, lambda p: F.struct(replaced(g, p).alias("text"), F.size(p).alias("n")))
+
+    return let(groups, done)
+
+
+def _between(key: str, part: Column) -> Column:
+    """struct(text, n): a text between other values with its n cards replaced."""
+    found = F.transform(F.regexp_extract_all(part, F.lit(f"({CHAIN})"), 1), lambda m: _cards(key, m))
+    new = let(found, lambda f: F.struct(F.array_join(F.zip_with(F.split(part, CHAIN, -1), f, lambda p, x: F.concat(p, F.coalesce(x["text"], F.lit("")))), "").alias("text"), F.aggregate(f, F.lit(0), lambda n, x: n + x["n"]).alias("n")))
+    return F.when(part.rlike(CHAIN), new).otherwise(F.struct(part.alias("text"), F.lit(0).alias("n")))
 
 
 def _phone(key: str, m: Column) -> Column:
@@ -209,7 +257,6 @@ def pseudonym(m: Column, key: str) -> Column:
         .when(whole("slashed_date"), _date(key, m, "MM/dd/yyyy"))
         .when(whole("national"), _national(key, m))
         .when(whole("phone"), _phone(key, m))
-        .when(whole("card"), _card(key, m))
         .otherwise(m)
     )
 
@@ -218,17 +265,19 @@ def pseudonymise(documents: DataFrame, key: str, text_col: str = "text", count_c
     """documents with the values in text_col replaced; all other columns and the order of columns stay.
 
     count_col adds the number of values that were changed. Texts without a value come back as they
-    are, null stays null, and no text is cut. Runs of digits without the right check digit, or of
-    other lengths, and impossible dates and quads are left alone. Repeated rows get equal results.
+    are, null stays null, and no text is cut. Runs of digits without the right check digit in any
+    run of whole groups, or of other lengths, and impossible dates and quads are left alone; numbers
+    side by side that have the right check digit by chance count as a card. Repeated rows get equal results.
     """
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(f"({ANY})"), 1)
     parts = F.split(text, ANY, -1)
-    has = text.rlike("[0-9@=:]") & text.rlike(ANY)
-    joined = F.array_join(F.zip_with("_parts", "_new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    has = text.rlike("[0-9@=:]") & text.rlike(f"{ANY}|{CHAIN}")
+    joined = F.array_join(F.zip_with("_parts", "_new", lambda p, n: F.concat(p["text"], F.coalesce(n, F.lit("")))), "")
     # An array that is used twice is a column of its own, or it would be computed twice.
     rows = documents.withColumns({"_found": F.when(has, found), "_parts": F.when(has, parts)})
-    rows = rows.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
-    changed = F.coalesce(F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)), F.lit(0))
+    rows = rows.withColumns({"_new": F.transform("_found", lambda m: pseudonym(m, key)), "_parts": F.transform("_parts", lambda p: _between(key, p))})
+    cards = F.aggregate("_parts", F.lit(0), lambda n, p: n + p["n"])
+    changed = F.coalesce(F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)) + cards, F.lit(0))
     out = [F.coalesce(joined, text).alias(c) if c == text_col else F.col(c) for c in documents.columns]
     return rows.select(*out, *([changed.alias(count_col)] if count_col else []))

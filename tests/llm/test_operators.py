@@ -334,6 +334,32 @@ def test_phones_of_all_areas(spark):
     assert all(re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", b) and valid(a) == valid(b) for a, b in zip(phones, got, strict=True))
 
 
+def test_cards_beside_other_numbers(spark):
+    around = ["{} 12/27", "{} 123.", "order 7 {}", "1234 5678 {}", "12 {} 123 55", "{} 12th", "7 8 9 1 2 3 4 {} 5 6 7 8", "2 555-234-5678 {}", "{} 2024-01-31", "{}\n{} 99", "x{{{}}}"]
+    cards = ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "5500-0000-0000-0004", "4222222222222"]
+    new = dict(zip(cards, [r.text for r in pseudonyms.pseudonymise(documents(spark, cards), "key").orderBy("doc_id").collect()], strict=True))
+    assert all(luhn(re.sub(r"\D", "", b)) and a != b for a, b in new.items())
+    rows = [(a, c) for a in around for c in cards]
+    got = pseudonyms.pseudonymise(documents(spark, [a.format(c, c) for a, c in rows]), "key", count_col="n").orderBy("doc_id").collect()
+    for r, (a, c) in zip(got, rows, strict=True):
+        want = a.format(new[c], new[c])
+        if "-31" in a or "555" in a:
+            assert new[c] in r.text and r.n == 2 and "555-234" not in r.text and "2024-01" not in r.text
+        elif not any(luhn(d) for d in by_groups(a.format(c, c)) if d != re.sub(r"\D", "", c)):
+            assert r.text == want and r.n == a.count("{}")
+        else:
+            assert c not in r.text
+    long = " ".join(["17"] * 2000) + " 4111 1111 1111 1111"
+    assert "4111 1111 1111 1111" not in pseudonyms.pseudonymise(documents(spark, [long]), "key").first().text
+
+
+def by_groups(text):
+    """The digits of all runs of whole groups of 13 to 19 digits."""
+    for m in re.finditer(r"\d+(?:[ -]\d+)*", text):
+        g = re.split("[ -]", m[0])
+        yield from (d for i in range(len(g)) for j in range(i, len(g)) if 13 <= len(d := "".join(g[i : j + 1])) <= 19)
+
+
 # 7. Sentence spans
 
 
