@@ -1,11 +1,12 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences after . ! ? and line feeds. From each sentence starts a span: the
-shortest run of at least two consecutive sentences with at least min_words words, or one sentence
-alone if it has twice as many. Spans are hashed on their words, joined over all documents, and
-every span but the first of its kind (by id, then by place) marks its sentences; the marked
-sentences are removed. Spans are of fixed content, so a passage gives the same ones wherever it
-stands, and a passage of more than about twice min_words words holds at least one whole.
+A text is cut into sentences after . ! ? and line feeds. From each sentence starts a span, and at
+each one ends a span: the shortest run of at least two consecutive sentences with at least
+min_words words. A sentence of twice as many words is a span of its own besides. Spans are hashed
+on their words, joined over all documents, and every span but the first of its kind (by id, then by
+place) marks its sentences; the marked sentences are removed. Spans are of fixed content, so a
+passage gives the same ones wherever it stands. Those within any run of at least two sentences and
+min_words words cover all of it, so every repeated run of this kind is removed whole.
 """
 
 from __future__ import annotations
@@ -46,13 +47,15 @@ def spans(piece, min_words: int) -> tuple[np.ndarray, ...]:
     word_at = np.append(np.searchsorted(word_begin, begin), len(words))
     sentence_at = np.searchsorted(row, np.arange(len(piece) + 1))
     last_word = at[row + 1]
-    # The sentence whose end is the first at or behind so many words; and two sentences at least, or twice the words.
+    # From each start the sentence whose end is the first at or behind so many words, and two sentences at least.
     start = np.arange(len(begin))
     stop = np.maximum(np.searchsorted(word_at, word_at[:-1] + min_words, side="left"), start + 2)
-    alone = word_at[1:] - word_at[:-1] >= 2 * min_words
-    stop = np.where(alone, start + 1, stop)
     fits = (stop <= sentence_at[row + 1]) & (word_at[np.minimum(stop, len(begin))] <= last_word)
-    s, e = start[fits], stop[fits]
+    # To each end the last start so many words before, unless that run is there already.
+    back = np.minimum(np.searchsorted(word_at, word_at[1:] - min_words, side="right") - 1, start - 1)
+    new = (back >= sentence_at[row]) & (stop[back] != start + 1)
+    alone = word_at[1:] - word_at[:-1] >= 2 * min_words
+    s, e = np.concatenate([start[fits], back[new], start[alone]]), np.concatenate([stop[fits], start[new] + 1, start[alone] + 1])
     a, b = word_at[s], word_at[e]
     # Words are numbered within the span by their place; sums over places are taken from prefix sums.
     place = np.arange(len(words), dtype=np.uint64)

@@ -415,6 +415,35 @@ def test_spans(spark, odd_texts):
     assert spans.remove_repeats(df.limit(0)).count() == 0
 
 
+def brute_runs(texts, least):
+    """Texts of one-line sentences ending in a full stop, after removal of all repeated runs of two or more sentences, and of lone ones of twice the words."""
+    seen, out = set(), []
+    for t in texts:
+        parts = re.findall(r"[^.]+\.\s*", t)
+        words, gone = [tuple(p.split()) for p in parts], set()
+        for s in range(len(parts)):
+            for e in range(s + 1, len(parts) + 1):
+                run = sum(words[s:e], ())
+                if len(run) >= (2 * least if e == s + 1 else least):
+                    key = (e - s == 1, run)
+                    gone |= set(range(s, e)) if key in seen else set()
+                    seen.add(key)
+        out.append("".join(p for k, p in enumerate(parts) if k not in gone))
+    return out
+
+
+def test_spans_cover_all_repeated_runs(spark):
+    rng = random.Random(31)
+    sentence = lambda n: " ".join(rng.choice(WORDS) for _ in range(n)) + "."
+    passages = [[40, 39], [45, 5], [3, 60, 4], [15, 10, 3], [2, 9, 15], [41, 2, 2], [9, 9], [12, 12, 40]]
+    passages = [" ".join(sentence(n) for n in p) for p in passages]
+    texts = [f"{sentence(7)} {p} {sentence(rng.randrange(1, 30))}" for p in passages for _ in range(3)]
+    texts += [" ".join([sentence(3), *rng.sample(passages, 4), sentence(30)]) for _ in range(10)]
+    got = [r.text for r in spans.remove_repeats(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert got == brute_runs(texts, spans.MIN_WORDS)
+    assert len(got[1].split()) == len(texts[1].split()) - 79
+
+
 # 8. Packing
 
 
