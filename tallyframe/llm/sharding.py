@@ -109,17 +109,21 @@ def shard(documents: DataFrame, shards: int = 16, id_col: str = "doc_id", text_c
     Size is the UTF-8 bytes of the text plus 1. Shards differ by the size of a row or so, or by at
     most the tolerance (part of a shard) where that keeps equal texts together; larger groups of
     equal texts are split. A null text has size 1 and the checksum of no bytes. Ids are expected to
-    be unique integers; rows that repeat an id and a text get slots of their own. With fewer rows
+    be unique integers; rows that repeat an id and a text get slots of their own. Rows with a null id
+    come first among those of their text and get shards and slots like all others. With fewer rows
     than shards some shards are empty. Only keys are moved, never texts; write_shards joins them.
     What the driver holds is bounded by ranges * oversample keys and some per round.
     """
     spark = documents.sparkSession
     raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
-    rows = documents.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("h"), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(raw).alias("crc"))
-    rows = keep(rows.filter("i is not null"), "keys")
+    own = F.col(id_col).cast("long")
+    # A null id is numbered from the lowest one, so that many of one text can be split; none tells that it is null.
+    rows = documents.select(F.coalesce(own, F.lit(int(_LOW) + 1) + F.monotonically_increasing_id()).alias("i"), own.isNull().alias("none"), F.xxhash64(text_col).alias("h"), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(raw).alias("crc"))
+    rows = keep(rows, "keys")
+    back = F.when(~F.col("none"), F.col("i")).alias(id_col)
     total = rows.agg(F.sum("size")).first()[0] or 0
     if not total:
-        return rows.select(F.col("i").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        return rows.select(back, "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
     keys = _splitters(rows, total, ranges, oversample)
     borders = _borders(rows, keys, shards, total, tolerance)
     both = sorted({*keys, *borders})
@@ -133,11 +137,19 @@ def shard(documents: DataFrame, shards: int = 16, id_col: str = "doc_id", text_c
     lookup = spark.createDataFrame([(r, shard_of[r], first[r]) for r in counts], "range long, shard int, first long")
     rank = F.row_number().over(Window.partitionBy("range").orderBy("h", "i"))
     out = placed.withColumn("rank", rank).join(F.broadcast(lookup), "range")
-    return out.select(F.col("i").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("rank") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return out.select(back, "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("rank") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(documents: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 8) -> None:
-    """Write documents under path/shard=N in the placed shards, each in some files by ranges of slots."""
-    rows = documents.join(placed.select(id_col, "shard", "slot"), id_col)
+def write_shards(documents: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 8, text_col: str = "text") -> None:
+    """Write documents under path/shard=N in the placed shards, each in some files by ranges of slots.
+
+    Rows meet their places by id, checksum and size of the text, and those alike in all three one by one; null ids too.
+    """
+    raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    nth = F.row_number().over(Window.partitionBy("_id", "_crc", "_size").orderBy("_id"))
+    rows = documents.select("*", F.col(id_col).cast("long").alias("_id"), F.crc32(raw).alias("_crc"), (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("_size")).withColumn("_nth", nth)
+    places = placed.select(F.col(id_col).alias("_id"), F.col("text_crc32").alias("_crc"), F.col("size").alias("_size"), "shard", "slot").withColumn("_nth", nth)
+    same = [rows[c].eqNullSafe(places[c]) for c in ("_id", "_crc", "_size", "_nth")]
+    rows = rows.join(places, same).select(*[rows[c] for c in documents.columns], "shard", "slot")
     many = placed.agg(F.max("shard")).first()[0]
     rows.repartitionByRange((int(many or 0) + 1) * files_per_shard, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -532,6 +532,23 @@ def test_written_shards(spark, tmp_path):
     assert {(r.doc_id, r.text, r.shard) for r in back.collect()} == {(r.doc_id, texts[r.doc_id], r.shard) for r in placed.collect()}
 
 
+def test_shards_keep_rows_with_null_ids(spark, tmp_path):
+    texts = [None, "", *[f"text {i % 70} {'x' * (i % 50)}" for i in range(600)], *["one text again and again"] * 400]
+    df = documents(spark, texts).withColumns({"n": F.col("doc_id"), "doc_id": F.when(F.col("doc_id") % 3 != 0, F.col("doc_id"))}).repartition(5)
+    placed = sharding.shard(df, 8).cache()
+    got = placed.toPandas()
+    assert sorted(got["size"]) == sorted(len((t or "").encode()) + 1 for t in texts) and got.doc_id.isna().sum() == 334
+    for _, rows in got.groupby("shard"):
+        assert sorted(rows.slot) == [*range(len(rows))]
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(sizes) == 8 and sizes.max() - sizes.min() <= 2 * got["size"].max() + 0.02 * sizes.mean()
+    sharding.write_shards(df, placed, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.n, r.text or "") for r in back) == [(i, t or "") for i, t in enumerate(texts)]
+    assert Counter((r.doc_id, len((r.text or "").encode()) + 1, r.shard) for r in back) == Counter((r.doc_id, r["size"], r.shard) for r in placed.collect())
+    assert {r.doc_id for r in sharding.shard(df.filter("doc_id is null"), 4).collect()} == {None}
+
+
 # 10. Decontamination
 
 
