@@ -24,20 +24,48 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+#: Spark's setting under which a query's shuffle files go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests, one machine), an own temporary one."""
+    """The folder of spark.checkpoint.dir; where it is unset, an own temporary one if driver and tasks share a machine, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallyframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table into the shared folder and read it back: its lineage ends here, and lost executors cost nothing."""
-    path = f"{shared_folder(df.sparkSession)}/tallyframe-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df as a Parquet table into the shared folder and read it back: its lineage ends here, and lost executors cost nothing.
+
+    What was shuffled for it goes when it is written. discard() deletes the table itself.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tallyframe-{uuid.uuid4().hex}/{name}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that keep() returned, when all that is derived from them has been written; others are passed over."""
+    for df in tables:
+        if not getattr(df, "kept_at", None):
+            continue
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.kept_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def let(value: Column, use) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import keep
+from tallyframe.llm.common import discard, keep
 
 MAX_ROUNDS = 64
 
@@ -20,7 +20,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     a hub is split by adaptive execution. Null ends are ignored, and so are links to oneself.
     """
     edges = links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b").distinct()
-    edges = keep(edges, "links")
+    edges = stored = keep(edges, "links")
     steps: list[DataFrame] = []
     while len(steps) < MAX_ROUNDS and not edges.isEmpty():
         up = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
@@ -29,8 +29,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         steps.append(parent)
         for end in ("a", "b"):
             edges = edges.join(parent.select(F.col("node").alias(end), "root"), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
-        edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-        edges = keep(edges, "links")
+        left = keep(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links")
+        discard(stored)
+        edges = stored = left
     if not steps:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).filter("false")
     if not edges.isEmpty():
@@ -41,4 +42,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         moved = found.join(later, "root", "left").select("node", F.coalesce("then", "root").alias("root"))
         # A node that others were pointed to while it had a smaller neighbour itself is in several steps.
         found = moved.unionAll(step).groupBy("node").agg(F.min("root").alias("root"))
-    return keep(found, "components") if len(steps) > 1 else found
+    discard(stored)
+    if len(steps) == 1:
+        return found
+    out = keep(found, "components")
+    discard(*steps)
+    return out
