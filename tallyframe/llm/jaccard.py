@@ -321,7 +321,10 @@ def _verified(pairs: DataFrame, documents: DataFrame, id_col: str, text_col: str
 
 
 def _apart(runs: DataFrame, sketches: DataFrame, roots: DataFrame, percent: int, nearest: int | None) -> DataFrame:
-    """(hub, id) of the rows of a run (sig, id) that are in different components and may be similar by their sketches; nearest: only so many for each row and other component in a cell."""
+    """(hub, id, more) of the rows of a run (sig, id) that are in different components and may be similar by their sketches.
+
+    nearest: only so many for each row and other component in a cell; more tells that others were left out.
+    """
     own = runs.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     sizes = own.groupBy("sig", "root").count()
     summed = sizes.groupBy("sig").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.sum("count").alias("rows"), F.max("count").alias("most"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
@@ -336,39 +339,50 @@ def _apart(runs: DataFrame, sketches: DataFrame, roots: DataFrame, percent: int,
 
     def compare(group):
         """The pairs of one cell: its rows outside the largest component, then all of them."""
-        member, ids, roots, sizes, marks = (np.array(x) if k < 4 else x for k, x in enumerate(zip(*group, strict=True)))
+        member, ids, roots, sizes = (group.column(c).to_numpy() for c in ("member", "id", "root", "n"))
+        if member[0] or group.num_rows < 2:
+            return
+        marks = group.column("sketch").to_pylist()
         words = min(len(m) for m in marks) // 8
         marks = np.stack([_folded(np.frombuffer(m, dtype=np.uint64), words) for m in marks])
         inside = np.flatnonzero(member)
         for i in np.flatnonzero(~member):
             apart = np.bitwise_count(marks[inside] ^ marks[i]).sum(1).astype(np.int64)
             able = np.flatnonzero(_may_link(sizes[inside], sizes[i], apart, percent) & (roots[inside] != roots[i]))
+            more = False
             if nearest is not None and len(able) > nearest:
+                many = len(able)
                 able = able[np.lexsort((ids[inside[able]], apart[able] / (sizes[inside[able]] + sizes[i]), roots[inside[able]]))]
                 other = roots[inside[able]]
                 start = np.flatnonzero(np.append(True, other[1:] != other[:-1]))
                 able = able[np.arange(len(able)) - np.repeat(start, np.diff(np.append(start, len(able)))) < nearest]
+                more = len(able) < many
             to = ids[inside[able]]
-            yield np.stack([np.minimum(to, ids[i]), np.maximum(to, ids[i])])
+            yield np.stack([np.minimum(to, ids[i]), np.maximum(to, ids[i]), np.full(len(to), more)])
 
     def run(batches):
-        now, group = None, []
+        group = None
 
         def out():
-            both = np.concatenate([np.empty((2, 0), dtype=np.int64), *compare(group)], axis=1) if group and not group[0][0] else np.empty((2, 0), dtype=np.int64)
-            both = np.unique(both, axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["hub", "id"])
+            found = np.unique(np.concatenate([np.empty((3, 0), dtype=np.int64), *compare(group)], axis=1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2] > 0)], ["hub", "id", "more"])
 
         for b in batches:
-            for sig, x, y, *row in zip(*(b.column(c).to_pylist() for c in ("sig", "x", "y", "member", *rest)), strict=True):
-                if (sig, x, y) != now:
-                    yield out()
-                    now, group = (sig, x, y), []
-                group.append(row)
-        yield out()
+            key = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("sig", "x", "y")])
+            starts = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0)))[: b.num_rows]
+            for at, to in zip(starts, np.append(starts[1:], b.num_rows), strict=True):
+                part = pa.Table.from_batches([b.slice(at, to - at)])
+                if group is not None and (now == key[:, at]).all():
+                    group = pa.concat_tables([group, part])
+                else:
+                    if group is not None:
+                        yield out()
+                    now, group = key[:, at], part
+        if group is not None:
+            yield out()
 
     cells_of = everyone.unionByName(outside).repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y", "member").select("sig", "x", "y", "member", *rest)
-    return cells_of.mapInArrow(run, "hub long, id long").distinct()
+    return cells_of.mapInArrow(run, "hub long, id long, more boolean").groupBy("hub", "id").agg(F.max("more").alias("more"))
 
 
 def _open_runs(documents: DataFrame, involved: DataFrame, named: dict) -> DataFrame:
@@ -432,14 +446,15 @@ def similar_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
             tested.append(keep(maybe, "maybe"))
             if tested[-1].isEmpty():
                 break
-            links.append(_verified(tested[-1], documents, id_col, text_col, words, percent))
-            if links[-1].isEmpty():
-                continue
+            links.append(_verified(tested[-1].drop("more"), documents, id_col, text_col, words, percent))
             every = links[0]
             for more in links[1:]:
                 every = every.unionAll(more)
-            old, roots = roots, connected_components(every, "hub", "id")
-            discard(old)
+            if not links[-1].isEmpty():
+                old, roots = roots, connected_components(every, "hub", "id")
+                discard(old)
+            if tested[-1].filter("more").isEmpty():
+                break
         discard(runs, *tested)
     discard(pairs, sketches, ends, *links)
     final = reps.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
