@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import keep
-from tallyframe.llm.tokencount import encoder
+from tallyframe.llm.tokencount import encode, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -75,7 +75,7 @@ def pieces(documents: DataFrame, ranks_file: str, id_col: str = "doc_id", text_c
         for b in batches:
             rows, doc, ids = [], [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                all_ids = np.concatenate([encoding.encode_to_numpy(text or "", allowed_special="all").astype("<u4"), end])
+                all_ids = np.concatenate([encode(encoding, text or "").astype("<u4"), end])
                 at, stop = 0, (len(all_ids) - 1) % capacity + 1
                 number = 0
                 while at < len(all_ids):

@@ -9,6 +9,7 @@ their neighbours and get other tokens at each border.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -16,10 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 RULES = ("first", "last", "largest")
+END = "<|endoftext|>"
+#: Runs of characters with Unicode's property White_Space that the encoder's own splitting could not hold on its stack.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{20000,}")
 
 
 @lru_cache(maxsize=4)
-def encoder(ranks_file: str, end: str = "<|endoftext|>"):
+def encoder(ranks_file: str, end: str = END):
     """The byte-level BPE of a ranks file and the byte length of each of its tokens; end is the special token that follows the ranks."""
     import public_tokenizers
     import tiktoken
@@ -34,9 +38,26 @@ def encoder(ranks_file: str, end: str = "<|endoftext|>"):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={end: top}), lengths
 
 
+def encode(encoding, text: str, end: str = END) -> np.ndarray:
+    """The ids of a whole text; the special token's string in it is that token.
+
+    A long run of white space is one word of the encoder's pattern, but for its last character where
+    something other than the special token follows: that begins the next word. So the run is encoded
+    by itself, without the pattern.
+    """
+    parts, at = [], 0
+    for m in _LONG_SPACE.finditer(text) if len(text) >= 20_000 else ():
+        stop = m.end() if m.end() == len(text) or text.startswith(end, m.end()) else m.end() - 1
+        parts.append(encoding.encode_to_numpy(text[at : m.start()], allowed_special="all"))
+        parts.append(np.array(encoding._encode_single_piece(text[m.start() : stop]), dtype=np.uint32))
+        at = stop
+    parts.append(encoding.encode_to_numpy(text[at:], allowed_special="all"))
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 def attribute(text: str, section_starts: np.ndarray, encoding, lengths: np.ndarray, rule: str) -> np.ndarray:
     """Tokens of each section of text; section_starts: byte offsets in rising order, the first 0, each section ending where the next begins."""
-    ids = encoding.encode_to_numpy(text, allowed_special="all")
+    ids = encode(encoding, text)
     end = np.cumsum(lengths[ids])
     start = end - lengths[ids]
     first = np.searchsorted(section_starts, start, side="right") - 1
