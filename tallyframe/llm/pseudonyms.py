@@ -29,7 +29,7 @@ ROUNDS = 5  # of two steps each
 _LEAD = r"(?i:password|passwd|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|token|api[_-]?key)[\"']?[ \t]{0,8}(?::=|=>|[=:])[ \t]{0,8}"
 _QUOTE, _LETTER = "[\"'`]", "[0-9A-Za-z+/_-]"
 PATTERNS = {
-    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "secret": rf"{_LEAD}(?:{_QUOTE}|(?<==)|(?=[0-9a-f]{{8}}|[A-Za-z+/_-]*+\d|{_LETTER}{{20}}))(?!(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![0-9A-Za-z])){_LETTER}{{8,}}+(?:\.{_LETTER}++)*+={{0,2}}+(?!@)",
     "key": r"(?<![0-9A-Za-z])(?:AKIA|ASIA)[A-Z0-9]{16}(?![0-9A-Za-z])",
     "address": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
@@ -154,42 +154,53 @@ def _card(key: str, m: Column) -> Column:
     return _filled(m, new)
 
 
-def _cards(key: str, chain: Column) -> Column:
-    """struct(text, n): a chain of groups of digits with its n cards replaced.
+def _groups(chain: Column) -> Column:
+    """A chain's groups of digits, each with the separator behind it."""
+    return F.regexp_extract_all(chain, F.lit(r"(\d+[ -]?)"), 1)
 
-    Runs of whole groups with 13 to 19 digits and the right check digit are cards, those grouped as
-    cards usually are before others, then earlier and longer ones before those that overlap them.
-    """
-    # Groups with the separator behind them; no run of more than 19 groups has 19 digits.
-    groups = F.regexp_extract_all(chain, F.lit(r"(\d+[ -]?)"), 1)
 
-    def runs(g, i):
-        def run(j):
-            text = F.regexp_replace(F.array_join(F.slice(g, i + 1, j - i + 1), ""), "[ -]$", "")
-            return F.struct(F.when(text.rlike(_USUAL), 0).otherwise(1).alias("rank"), i.alias("i"), (-j).alias("to"), text.alias("text"))
+def _picked(g: Column, usual: bool) -> Column:
+    """array of struct(i, to, text): from the left, the longest card that begins at each group and after the card before."""
 
-        found = F.transform(F.sequence(i, F.least(i + 18, F.size(g) - 1)), run)
-        return F.filter(found, lambda x: F.length(_digits(x["text"])).between(13, 19) & (luhn_sum(_digits(x["text"])) % 10 == 0))
+    def longest(i):
+        # No run of more than 19 groups has 19 digits.
+        text = lambda j: F.rtrim(F.array_join(F.slice(g, i + 1, j - i + 1), ""), F.lit(" -"))
+        runs = F.transform(F.sequence(i, F.least(i + 18, F.size(g) - 1)), lambda j: F.struct(i.alias("i"), j.alias("to"), text(j).alias("text")))
+        digits = lambda x: F.translate(x["text"], " -", "")
+        fits = lambda x: F.length(digits(x)).between(13, 19) & (x["text"].rlike(_USUAL) if usual else F.lit(True)) & (luhn_sum(digits(x)) % 10 == 0)
+        return F.try_element_at(F.filter(runs, fits), F.lit(-1))
 
-    def pick(have, x):
-        clash = F.exists(have, lambda y: (x["i"] <= -y["to"]) & (y["i"] <= -x["to"]))
-        return F.when(clash, have).otherwise(F.concat(have, F.array(x)))
+    def step(s, i):
+        more = let(longest(i), lambda x: F.when(x.isNull(), s).otherwise(F.struct(x["to"].alias("last"), F.concat(s["picks"], F.array(x)).alias("picks"))))
+        return F.when(i <= s["last"], s).otherwise(more)
+
+    start = F.struct(F.lit(-1).alias("last"), F.array().cast("array<struct<i:int,to:int,text:string>>").alias("picks"))
+    return F.when(F.size(g) > 0, F.aggregate(F.sequence(F.lit(0), F.size(g) - 1), start, step)["picks"]).otherwise(start["picks"])
 
-    def replaced(g, picks):
-        def one(x, k):
-            own = F.get(F.filter(picks, lambda p: (p["i"] <= k) & (k <= -p["to"])), F.lit(0))
-            end = F.regexp_replace(x, r"\d", "")
-            return let(own, lambda p: F.when(p.isNull(), x).otherwise(F.concat(F.when(p["i"] == k, p["new"]).otherwise(""), F.when(k == -p["to"], end).otherwise(""))))
 
-        return F.array_join(F.transform(g, one), "")
+def _cards(key: str, chain: Column, usual: bool = True) -> Column:
+    """struct(text, n): a chain of groups of digits with its n cards replaced.
+
+    Runs of whole groups with 13 to 19 digits and the right check digit are cards: first those grouped
+    as cards usually are, then what lies between them; earlier and longer ones before those that overlap them.
+    """
 
-    def done(g):
-        found = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size(g) - 1), lambda i: runs(g, i))))
-        picks = let(found, lambda all_runs: F.aggregate(all_runs, F.slice(all_runs, 1, 0), pick))
-        new = F.transform(picks, lambda p: F.struct(p["i"].alias("i"), p["to"].alias("to"), _card(key, p["text"]).alias("new")))
-        return let(new, lambda p: F.struct(replaced(g, p).alias("text"), F.size(p).alias("n")))
+    def rest(text):
+        return _cards(key, text, False) if usual else F.struct(text.alias("text"), F.lit(0).alias("n"))
 
-    return let(groups, done)
+    def replaced(g, picks):
+        # What stands before each card, and behind the last one.
+        def part(k):
+            first, card = F.coalesce(F.get(picks, k - 1)["to"], F.lit(-1)) + 1, F.get(picks, k)
+            end = F.coalesce(card["i"], F.size(g))
+            new = let(card, lambda p: F.when(p.isNull(), "").otherwise(F.concat(_card(key, p["text"]), F.regexp_replace(F.get(g, p["to"]), r"\d", ""))))
+            before = rest(F.array_join(F.slice(g, first + 1, end - first), ""))
+            return let(before, lambda x: F.struct(F.concat(x["text"], new).alias("text"), (x["n"] + F.when(k < F.size(picks), 1).otherwise(0)).alias("n")))
+
+        parts = F.transform(F.sequence(F.lit(0), F.size(picks)), part)
+        return let(parts, lambda x: F.struct(F.array_join(F.transform(x, lambda y: y["text"]), "").alias("text"), F.aggregate(x, F.lit(0), lambda n, y: n + y["n"]).alias("n")))
+
+    return let(_groups(chain), lambda g: let(_picked(g, usual), lambda picks: replaced(g, picks)))
 
 
 def _between(key: str, part: Column) -> Column:
