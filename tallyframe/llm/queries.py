@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import decontam, jaccard, packing, pseudonyms, sharding, spans, tokencount, topk, toxicity, urlfilter
 
-PSEUDONYM_KEY = "tallyframe"
+PSEUDONYM_KEY = "tallyframe"  # for tests and trials: who knows the key can undo the pseudonyms
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
@@ -19,6 +19,11 @@ def tokenizer_file(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The secret key of the pseudonyms, from the session's setting spark.tallyframe.pseudonymKey."""
+    return spark.conf.get("spark.tallyframe.pseudonymKey", PSEUDONYM_KEY)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,7 +54,7 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY, count_col="n_changed")
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"), pseudonym_key(spark), count_col="n_changed")
 
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
