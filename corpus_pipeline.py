@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import decontam, jaccard, packing, pseudonyms, toxicity
 from tallyframe.llm.common import keep
-from tallyframe.llm.queries import PSEUDONYM_KEY, tokenizer_file
+from tallyframe.llm.queries import pseudonym_key, tokenizer_file
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs without those scored at 0.5 or more. Null and empty texts have the bias's score alone; rows with null or repeated ids are scored one by one, and learnt from only if labelled."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     out = toxicity.held_out(F.col("doc_id"))
     model = toxicity.train(docs.filter(~out), labels.filter(~out))
@@ -25,18 +26,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with one document of each group of near duplicates. Rows without words or without an id stay; rows with equal ids stay or go together."""
     return jaccard.keep_first(docs, words=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs without those that hold at least half of a benchmark item. Null and empty texts and rows with a null id stay; rows with equal ids go together."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pseudonym_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    """docs with values in their texts replaced, under the session's key. Null texts and texts without values come back as they are."""
+    return pseudonyms.pseudonymise(docs, pseudonym_key(spark))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all docs and their places in sequences. A null text counts as empty, which is one piece of the end id alone; rows with equal ids are documents of their own."""
     return packing.pack(docs, tokenizer_file())
 
 
