@@ -1,6 +1,7 @@
 """The pipeline's stages against plain versions, each on what the stage before kept, and the queries as registered."""
 
 import re
+from collections import Counter
 
 import corpus_pipeline
 from tallyframe.llm import queries, toxicity
@@ -53,6 +54,29 @@ def test_stages(spark, data_dir):
     check_packing(pieces, kept, 2048)
 
 
+def test_stages_on_odd_rows(spark, data_dir):
+    """Null, empty, blank, long and repeated texts, null and repeated ids, further columns of clashing names, and no rows at all."""
+    long = " ".join(f"word{i % 700}" for i in range(60_000))
+    rows = [(1, None), (2, ""), (3, " " * 30_000), (4, long), (5, long + " end"), (6, "see 10.1.2.3 now"), (None, "see 10.1.2.3 now"), (6, "a text of its own under an id that is there already"), (None, None), (7, "x" * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("id", "sig", "hub", "t", "doc", "_id", "root", "n", "_c0")})
+    kept = {}
+    for some, start in (("rows", docs), ("none", docs.limit(0))):
+        step = start
+        for name, stage in corpus_pipeline.STAGES:
+            step = stage(spark, step, data_dir).cache()
+            kept[some, name] = [r.asDict() for r in step.collect()]
+            if name != "best_fit_packing":
+                assert step.columns == docs.columns
+    assert all(not found for (some, _), found in kept.items() if some == "none")
+    left = [(r["doc_id"], r["text"]) for r in kept["rows", "decontamination"]]
+    toxic = {r for r in rows} - {(r["doc_id"], r["text"]) for r in kept["rows", "toxicity"]}
+    assert {*left} == {*rows} - toxic - {(5, long + " end")}
+    private = [r["text"] for r in kept["rows", "pseudonyms"] if (r["text"] or "").startswith("see")]
+    assert len({*private}) <= 1 and "see 10.1.2.3 now" not in private
+    pieces = kept["rows", "best_fit_packing"]
+    assert Counter(r["doc_id"] for r in pieces if r["piece"] == 0) == Counter(i for i, _ in left)
+
+
 def test_queries_against_sql(spark, data_dir):
     for name, sql in queries.ORACLES.items():
         same_rows(spark, queries.QUERIES[name], sql, data_dir)
