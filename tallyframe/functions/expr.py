@@ -67,6 +67,18 @@ def plain(c: Column) -> Column:
     return c._order[0] if getattr(c, "_order", None) else c
 
 
+def _power(a: Column, b: Column) -> Column:
+    """Integer power by squaring over the exponent's bits; nothing is squared beyond the last bit, so only a true overflow raises."""
+    last = F.length(F.bin(b)) - 1
+
+    def step(s, i):
+        bit = F.getbit(b.cast("long"), i) == 1
+        return F.struct(F.when(bit, s["out"] * s["base"]).otherwise(s["out"]).alias("out"), F.when(i < last, s["base"] * s["base"]).otherwise(s["base"]).alias("base"))
+
+    start = F.struct(F.lit(1).cast("long").alias("out"), a.cast("long").alias("base"))
+    return F.when(b < 0, F.pow(a, b).cast("long")).otherwise(F.aggregate(F.sequence(F.lit(0), last), start, step)["out"])
+
+
 class Expr:
     """A named column to be; see the module. Names follow the first input unless alias sets one."""
 
@@ -176,9 +188,9 @@ class Expr:
         return self._typed(lambda p, a, b: F.when(b != 0, F.try_mod(F.try_mod(a, b) + b, b)), o)
 
     def __pow__(self, o):
-        """Integers to integers stay integers."""
+        """Integers to integers stay integers and are exact; beyond a long they raise. A negative exponent gives the power cut to an integer."""
         whole = lambda p, x: dtypes.is_integer(p.kind(x))
-        return self._typed(lambda p, a, b: F.pow(a, b).cast("long") if whole(p, a) and whole(p, b) else F.pow(a, b), o)
+        return self._typed(lambda p, a, b: _power(a, b) if whole(p, a) and whole(p, b) else F.pow(a, b), o)
 
     # Nulls and NaN
     def is_null(self):

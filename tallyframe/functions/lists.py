@@ -226,7 +226,7 @@ class Lists:
             n = F.size(x)
             if with_replacement:
                 return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(many(n), F.lit(1))), lambda i: F.get(x, F.pmod(F.xxhash64(x, i, F.lit(seed)), n).cast("int")))).otherwise(x)
-            keys = F.transform(x, lambda e, i: F.struct(F.xxhash64(F.lit(seed), i, n).alias("k"), i.alias("i"), e.alias("e")))
+            keys = F.transform(x, lambda e, i: F.struct(F.xxhash64(F.lit(seed), i, x).alias("k"), i.alias("i"), e.alias("e")))
             picked = F.slice(F.array_sort(keys), F.lit(1), many(n))
             picked = picked if shuffle else F.array_sort(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["e"].alias("e"))))
             return F.transform(picked, lambda s: s["e"])

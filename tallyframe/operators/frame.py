@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -16,6 +17,8 @@ from tallyframe.functions import dtypes
 from tallyframe.functions.expr import Expr, Place, ValueCounts, col, lit, order_key
 
 JOINS = ("inner", "left", "right", "full", "semi", "anti", "cross")
+SAMPLED_AT_ONCE = 100_000  # rows that one sort may hold
+BUCKETS = 4096
 _SPARK_JOIN = {"semi": "left_semi", "anti": "left_anti"}
 PIVOT_AGGREGATES = ("first", "last", "sum", "min", "max", "mean", "median", "count", "len")
 
@@ -250,7 +253,20 @@ class Frame:
             # Draws of row numbers, counted, then joined: rows come as often as they were drawn.
             draws = self.df.sparkSession.range(n).select(F.floor(F.rand(seed) * total).cast("long").alias("_at")).groupBy("_at").count()
             return self._with(self._numbered().join(draws, "_at").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("count")))).select(*self.columns))
-        return self._with(self.df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r"))
+        drawn = self.df.withColumn("_r", F.rand(random.randrange(1 << 31) if seed is None else seed))
+        if n > SAMPLED_AT_ONCE:
+            # All rows below a bucket of the random numbers, and of that bucket alone the lowest.
+            drawn = drawn.withColumn("_b", F.floor(F.col("_r") * BUCKETS))
+            below = 0
+            for at, many in sorted(drawn.groupBy("_b").count().collect()):
+                if below + many >= n:
+                    break
+                below += many
+            else:
+                return self
+            few = drawn.filter(F.col("_b") == at).orderBy("_r").limit(n - below)
+            return self._with(drawn.filter(F.col("_b") < at).unionAll(few).drop("_r", "_b"))
+        return self._with(drawn.orderBy("_r").limit(n).drop("_r"))
 
     def sample_frac(self, fraction: float, seed: int | None = None, with_replacement: bool = False) -> Frame:
         """round(fraction * rows) whole rows."""

@@ -73,10 +73,10 @@ def quantiles(read):
     return read("lineitem").group_by("l_returnflag").agg(q.quantile(0.25).alias("q1"), q.quantile(0.9, "equiprobable").alias("q9"), q.quantile(0.3, "lower").alias("low"), q.quantile(0.3, "higher").alias("high"))
 
 
-@query("""select event_type, coalesce(sum(event_id) filter (user_id % 2 = 0), 0)::bigint as even, list(event_id order by value desc, event_id) filter (event_id < 50) as few from events group by all""")
+@query("""select o_custkey, coalesce(sum(o_orderkey) filter (o_orderstatus = 'O'), 0)::bigint as open, coalesce(list(o_orderkey order by o_totalprice desc, o_orderkey) filter (o_totalprice > 100000), []) as large from orders group by all""")
 def filtered_aggregates(read):
-    few = col("event_id").filter(col("event_id") < 50).sort_by([col("value"), col("event_id")], descending=[True, False])
-    return read("events").group_by("event_type").agg(col("event_id").filter(col("user_id") % 2 == 0).sum().alias("even"), few.alias("few"))
+    large = col("o_orderkey").filter(col("o_totalprice") > 100000).sort_by([col("o_totalprice"), col("o_orderkey")], descending=[True, False])
+    return read("orders").group_by("o_custkey").agg(col("o_orderkey").filter(col("o_orderstatus") == "O").sum().alias("open"), large.alias("large"))
 
 
 @query("select o_custkey, list(o_orderkey order by o_orderkey) as keys from orders group by all")
@@ -173,10 +173,10 @@ def arithmetic(read):
 
 
 @query("""select s_suppkey, abs(s_acctbal) as a, round_even(s_acctbal, 1) as r, sqrt(abs(s_acctbal)) as s, case when s_acctbal < 0 then 'nan'::double when s_acctbal = 0 then '-inf'::double else ln(s_acctbal) / ln(2.0) end as l,
-    case when s_acctbal < 0 then 0 when s_acctbal > 5000 then 5000 else s_acctbal end as c, trunc(s_acctbal)::bigint as i, s_acctbal::varchar is not null as t from supplier""")
+    case when s_acctbal < 0 then 0 when s_acctbal > 5000 then 5000 else s_acctbal end as c, trunc(s_acctbal)::bigint as i, s_acctbal::varchar as t from supplier""")
 def math(read):
     x = col("s_acctbal")
-    return read("supplier").select("s_suppkey", x.abs().alias("a"), x.round(1).alias("r"), x.abs().sqrt().alias("s"), x.log(2).alias("l"), x.clip(0.0, 5000.0).alias("c"), x.cast("int64").alias("i"), x.cast("string").is_not_null().alias("t"))
+    return read("supplier").select("s_suppkey", x.abs().alias("a"), x.round(1).alias("r"), x.abs().sqrt().alias("s"), x.log(2).alias("l"), x.clip(0.0, 5000.0).alias("c"), x.cast("int64").alias("i"), x.cast("string").alias("t"))
 
 
 @query("select p_partkey, try_cast(regexp_replace(p_brand, 'Brand#', '') as bigint) as n, try_cast(p_name as bigint) as none, case when p_size between 0 and 255 then p_size::smallint end as u from part")
@@ -300,20 +300,20 @@ def join_inner(read):
     return read("orders").join(read("customer"), left_on="o_custkey", right_on="c_custkey").join(read("nation"), left_on="c_nationkey", right_on="n_nationkey").select("o_orderkey", "o_custkey", "c_name", "n_name")
 
 
-@query("select c_custkey, c_name, o_orderkey from customer left join (select * from orders where o_orderkey % 5 = 0) on c_custkey = o_custkey")
+@query("select c_custkey, c_name, o_orderkey from customer left join (select * from orders where o_totalprice > 250000) on c_custkey = o_custkey")
 def join_left(read):
-    return read("customer").join(read("orders").filter(col("o_orderkey") % 5 == 0), left_on="c_custkey", right_on="o_custkey", how="left").select("c_custkey", "c_name", "o_orderkey")
+    return read("customer").join(read("orders").filter(col("o_totalprice") > 250000), left_on="c_custkey", right_on="o_custkey", how="left").select("c_custkey", "c_name", "o_orderkey")
 
 
-@query("select b.id as id, a.v as v, b.v as v_right from (select c_custkey as id, c_nationkey as v from customer where c_custkey % 2 = 0) a right join (select s_suppkey as id, s_nationkey as v from supplier) b on a.id = b.id")
+@query("select b.id as id, a.v as v, b.v as v_right from (select c_custkey as id, c_nationkey as v from customer where c_acctbal > 0) a right join (select s_suppkey as id, s_nationkey as v from supplier) b on a.id = b.id")
 def join_right(read):
-    a = read("customer").filter(col("c_custkey") % 2 == 0).select(col("c_custkey").alias("id"), col("c_nationkey").alias("v"))
+    a = read("customer").filter(col("c_acctbal") > 0).select(col("c_custkey").alias("id"), col("c_nationkey").alias("v"))
     return a.join(read("supplier").select(col("s_suppkey").alias("id"), col("s_nationkey").alias("v")), on="id", how="right")
 
 
-@query("select a.id as id, b.id as id_right from (select c_custkey as id from customer where c_custkey % 2 = 0) a full join (select s_suppkey as id from supplier) b on a.id = b.id")
+@query("select a.id as id, b.id as id_right from (select c_custkey as id from customer where c_acctbal > 0) a full join (select s_suppkey as id from supplier) b on a.id = b.id")
 def join_full(read):
-    a = read("customer").filter(col("c_custkey") % 2 == 0).select(col("c_custkey").alias("id"))
+    a = read("customer").filter(col("c_acctbal") > 0).select(col("c_custkey").alias("id"))
     return a.join(read("supplier").select(col("s_suppkey").alias("id")), on="id", how="full")
 
 
@@ -402,10 +402,10 @@ def sample_fraction(read):
     return read("events").sample_frac(0.1, seed=7)
 
 
-@query("""with s as (select count(o_orderkey)::varchar as a, count(o_orderstatus)::varchar as b, min(o_orderkey)::varchar as c, max(o_orderkey)::varchar as d, min(o_orderstatus) as e, max(o_orderstatus) as f, avg(o_orderkey)::varchar as m from orders)
-    select 'count' as statistic, a as k, b as st from s union all select 'null_count', '0', '0' from s union all select 'mean', m, null from s union all select 'min', c, e from s union all select 'max', d, f from s""")
+@query("""with s as (select count(o_orderkey)::varchar as a, count(o_orderstatus)::varchar as b, min(o_orderkey)::varchar as c, max(o_orderkey)::varchar as d, min(o_orderstatus) as e, max(o_orderstatus) as f, avg(o_orderkey)::varchar as m, round(stddev_pop(o_orderkey), 3)::varchar as sd from orders)
+    select 'count' as statistic, a as k, b as st from s union all select 'null_count', '0', '0' from s union all select 'mean', m, null from s union all select 'std', sd, null from s union all select 'min', c, e from s union all select 'max', d, f from s""")
 def describe(read):
-    return read("orders").select(col("o_orderkey").alias("k"), col("o_orderstatus").alias("st")).describe().filter(col("statistic") != "std")
+    return read("orders").select(col("o_orderkey").alias("k"), col("o_orderstatus").alias("st")).describe().with_columns(k=when(col("statistic") == "std").then(col("k").cast("float64").round(3).cast("string")).otherwise(col("k")))
 
 
 # Lists
@@ -421,7 +421,7 @@ def list_reductions(read):
     return rows.select("k", x.len().alias("n"), x.sum().alias("s"), x.mean().alias("m"), x.median().alias("md"), x.max().alias("hi"), x.min().alias("lo"), x.std().alias("sd"), x.contains(3).alias("has"), x.sort().alias("srt"), x.reverse().alias("rev"), (x.len() > x.drop_nulls().list.len()).alias("gap"), x.first().alias("first"), x.last().alias("last"), x.get(8).alias("none"))
 
 
-@query("""select k, list_transform(l, lambda x: x * 2 + 1) as ev, list_slice(l, 2, 3) as sl, list_slice(l, 3, 4) as tl, list_distinct(l) is not null as u, len(list_distinct(l))::integer as nu, list_position(l, list_min(l))::bigint - 1 as amin, list_position(l, list_max(l))::bigint - 1 as amax,
+@query("""select k, list_transform(l, lambda x: x * 2 + 1) as ev, list_slice(l, 2, 3) as sl, list_slice(l, 3, 4) as tl, list_sort(list_distinct(l)) as u, len(list_distinct(l))::integer as nu, list_position(l, list_min(l))::bigint - 1 as amin, list_position(l, list_max(l))::bigint - 1 as amax,
     array_to_string(list_transform(l, lambda x: x::varchar), '-') as j, [l[1], l[3]] as ge, [null, l[1], l[2], l[3]] as sh, [null, l[2] - l[1], l[3] - l[2], l[4] - l[3]] as di, [l[4], l[1]] as ga, len(list_filter(l, lambda x: x = 1))::integer as ones
     from (select event_id as k, [event_id % 7, event_id % 3, event_id % 5, event_id % 2] as l from events)""")
 def list_edits(read):
@@ -429,7 +429,7 @@ def list_edits(read):
     rows = read("events").select(e.alias("k"), concat_list(e % 7, e % 3, e % 5, e % 2).alias("l"))
     x = col("l").list
     return rows.select(
-        "k", x.eval(element() * 2 + 1).alias("ev"), x.slice(1, 2).alias("sl"), x.tail(2).alias("tl"), x.unique().is_not_null().alias("u"), x.n_unique().alias("nu"), x.arg_min().alias("amin"), x.arg_max().alias("amax"), x.eval(element().cast("string")).list.join("-").alias("j"),
+        "k", x.eval(element() * 2 + 1).alias("ev"), x.slice(1, 2).alias("sl"), x.tail(2).alias("tl"), x.unique().list.sort().alias("u"), x.n_unique().alias("nu"), x.arg_min().alias("amin"), x.arg_max().alias("amax"), x.eval(element().cast("string")).list.join("-").alias("j"),
         x.gather_every(2).alias("ge"), x.shift().alias("sh"), x.diff().alias("di"), x.gather([-1, 0]).alias("ga"), x.count_matches(1).alias("ones"),
     )
 

@@ -205,6 +205,28 @@ def test_lists(spark):
     assert [sorted(x) for x in got[:4]] == [[1, 2, 4, 5], [1], [2, 4], [1, 5]] and got[4] == 2 and len(got[5]) == 2
 
 
+def test_large_samples_are_exact(spark, monkeypatch):
+    monkeypatch.setattr("tallyframe.operators.frame.SAMPLED_AT_ONCE", 10)
+    frame = rows.from_rows(spark, [{"x": i} for i in range(500)])
+    for n in (11, 250, 499, 500, 900):
+        got = [r["x"] for r in maps(frame.sample_n(n, seed=3))]
+        assert len({*got}) == len(got) == min(n, 500)
+    assert len(maps(frame.sample_frac(0.5, seed=1))) == 250
+
+
+def test_list_samples_differ_by_list(spark):
+    got = values(spark, [col("a").list.sample_n(3, seed=1).alias("s")], a=[[10 * k + j for j in range(8)] for k in range(20)])
+    assert len({tuple(x % 10 for x in s) for (s,) in got}) > 1 and all(s == sorted(s) and len(s) == 3 for (s,) in got)
+
+
+def test_integer_powers_are_exact(spark):
+    a, b = [3, -2, 0, 1, -1, 7, 2, None, 10], [39, 63, 0, 10_000, 9_999, 22, 62, 3, 18]
+    got = values(spark, [(col("a") ** col("b")).alias("p")], a=a, b=b)
+    assert [p for (p,) in got] == [None if x is None else x**y for x, y in zip(a, b, strict=True)]
+    with pytest.raises(Exception, match="(?i)overflow"):
+        values(spark, [(col("a") ** col("b")).alias("p")], a=[3], b=[40])
+
+
 def test_samples_and_describe(spark, staff):
     assert len(one(staff.sample_n(3, seed=1))) == 3 and len(one(staff.sample_frac(0.5, seed=1))) == 4 and len(one(staff.sample_n(20, seed=1, with_replacement=True))) == 20
     got = {r["statistic"]: r for r in maps(staff.select("name", "age").describe())}
