@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import keep, let, small
 
-#: Kept positions of windows of SPAN tokens; a run of three replaced words leaves one of them whole in most places.
-MASKS = ((0, 1, 2, 4, 7), (0, 2, 3, 5, 7), (0, 3, 5, 6, 7))
+#: Kept positions of windows of SPAN tokens: a run of three replaced words leaves one of the first three whole in most
+#: places; the last two ignore each fourth and each third position, so words replaced that often leave them whole.
+MASKS = ((0, 1, 2, 4, 7), (0, 2, 3, 5, 7), (0, 3, 5, 6, 7), (0, 2, 3, 4, 6, 7), (0, 1, 3, 4, 6, 7))
 SPAN = 8
 MIN_OVERLAP = 0.5
 MIN_RUN = 6

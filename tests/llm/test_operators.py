@@ -783,8 +783,10 @@ def test_decontamination(spark, odd_texts):
         exact, changed, inserted = [*w], [*w], [*w]
         for k in range(3, len(w), 7):
             changed[k] = "zz"
+        third, fourth = ([*w] for _ in range(2))
+        third[i % 3 :: 3], fourth[i % 4 :: 4] = (["zz"] * len(x[i % n :: n]) for x, n in ((third, 3), (fourth, 4)))
         inserted.insert(len(w) // 2, "zz")
-        for part in (exact, changed, inserted):
+        for part in (exact, changed, inserted, third, fourth):
             want.add((len(texts), i))
             texts.append(f"{text(30)} {' '.join(part).upper()}. {text(20)}")
         texts.append(f"{text(30)} {' '.join(w[: len(w) // 4])} {text(30)}")
