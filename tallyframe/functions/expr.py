@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import wraps
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -37,6 +38,8 @@ class Place:
         return Window.partitionBy(*self.partition).orderBy(*[flipped(c) for c in self.order] if reverse else self.order)
 
     def aggregate(self, c: Column) -> Column:
+        if self.mode == "list":
+            raise EngineError("INVALID", "this reduction has no list function")
         if self.mode == "over":
             return c.over(Window.partitionBy(*self.partition).rowsBetween(*WHOLE))
         if self.mode == "scalar":
@@ -67,6 +70,41 @@ def plain(c: Column) -> Column:
     return c._order[0] if getattr(c, "_order", None) else c
 
 
+def rising(c: Column, kind: T.DataType, descending: bool = False, nulls_last: bool = False) -> Column:
+    """A struct that rises along an order key, so that keys of several directions can be compared as one value."""
+    value = c
+    if descending:
+        if dtypes.is_float(kind):
+            value = F.struct(~F.isnan(c), -c)
+        elif dtypes.is_integer(kind):
+            value = F.bitwise_not(c)
+        elif isinstance(kind, T.BooleanType):
+            value = ~c
+        elif isinstance(kind, T.DecimalType):
+            value = -c
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            value = F.lit("1970-01-01").cast(kind) - c
+        elif isinstance(kind, (T.StringType, T.BinaryType)):
+            # Digits of the bytes, turned round; a shorter string comes after those that go on from it.
+            value = F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))
+        else:
+            raise EngineError("INVALID", f"no descending key of {kind.simpleString()} can be compared with others")
+    return F.struct(c.isNull() if nulls_last else c.isNotNull(), value)
+
+
+def reduction(method):
+    """Marks a method that reduces values; within a list (Lists.agg) the list function of its name stands in for it."""
+
+    @wraps(method)
+    def run(self, *args, **named):
+        out = method(self, *args, **named)
+        build = out.build
+        out.build = lambda p: p.reduced(method.__name__, self, args, named) if p.mode == "list" else build(p)
+        return out
+
+    return run
+
+
 def _power(a: Column, b: Column) -> Column:
     """Integer power by squaring over the exponent's bits; nothing is squared beyond the last bit, so only a true overflow raises."""
     last = F.length(F.bin(b)) - 1
@@ -234,35 +272,43 @@ class Expr:
         return self.map(lambda a: dtypes.cast(a, dtype, strict))
 
     # Aggregates
+    @reduction
     def sum(self):
         """0 for no values."""
         return self._agg(lambda p, x: F.coalesce(F.sum(x), F.lit(0)))._over_safe("sum", self)
 
+    @reduction
     def mean(self):
         return self._agg(lambda p, x: F.avg(x))
 
+    @reduction
     def min(self):
         """NaN only if all values are NaN."""
         return self._agg(lambda p, x: _extreme(F.min, p, x))._over_safe("min", self)
 
+    @reduction
     def max(self):
         return self._agg(lambda p, x: _extreme(F.max, p, x))._over_safe("max", self)
 
+    @reduction
     def count(self):
         return self._agg(lambda p, x: F.count(x))
 
+    @reduction
     def len(self):
         """Rows, nulls among them."""
         if self.pred is not None:
             return self.pred._agg(lambda p, x: F.count_if(x)).alias(self.name)
         return self._agg(lambda p, x: F.count(F.lit(1)))
 
+    @reduction
     def null_count(self):
         base = Expr(self.build, self.name)
         if self.pred is not None:
             return base.map(lambda x, c: x.isNull() & c, self.pred)._agg(lambda p, x: F.count_if(x))
         return base._agg(lambda p, x: F.count_if(x.isNull()))
 
+    @reduction
     def n_unique(self):
         """Distinct values, null being one."""
         parts = Expr(self.build, self.name)
@@ -279,9 +325,11 @@ class Expr:
 
         return Expr(build, self.name, True)
 
+    @reduction
     def first(self):
         return self._end(True)
 
+    @reduction
     def last(self):
         return self._end(False)
 
@@ -295,26 +343,27 @@ class Expr:
                 return F.try_element_at(values, F.lit(1 if front else -1))
             if not p.order:
                 raise OrderError("first" if front else "last")
-            key = F.struct(*[plain(c).alias(f"o{i}") for i, c in enumerate(p.order)])
+            parts = [getattr(c, "_order", (c, False, False)) for c in p.order]
+            key = F.struct(*[rising(c, p.kind(c), d, n) for c, d, n in parts])
             key = F.when(self.pred.build(inner), key) if self.pred is not None else key
-            turned = [getattr(c, "_order", (c, False, False))[1] for c in p.order]
-            if any(turned) and not all(turned):
-                raise EngineError("INVALID", "first and last need keys of one direction")
-            pick = F.min_by if front != all(turned) else F.max_by
-            return p.aggregate(pick(self.build(inner), key))
+            return p.aggregate((F.min_by if front else F.max_by)(self.build(inner), key))
 
         return Expr(build, self.name, True)
 
+    @reduction
     def median(self):
         return self._agg(lambda p, x: F.percentile(x, F.lit(0.5)))
 
+    @reduction
     def std(self):
         """With n - 1; null for a single value."""
         return self._agg(lambda p, x: F.stddev_samp(x))
 
+    @reduction
     def var(self):
         return self._agg(lambda p, x: F.var_samp(x))
 
+    @reduction
     def quantile(self, q: float, method: str = "linear"):
         """method: linear, nearest, lower, higher, midpoint, equiprobable."""
         if not 0 <= q <= 1:
@@ -420,12 +469,12 @@ class Expr:
             raise EngineError("INVALID", "mapping is group_to_rows or join; for explode use Frame.over_exploded")
         inner = self.imploded() if mapping == "join" and not self.reduces else self
 
-        def build(p: Place) -> Column:
+        def within(p: Place) -> Place:
             base = replace(p, mode="row")
             keys = [order_key(col(o).build(base), descending, nulls_last) for o in order_by]
-            return inner.build(replace(p, mode="over", partition=[col(x).build(base) for x in partition], order=keys or p.order))
+            return replace(p, mode="over", partition=[col(x).build(base) for x in partition], order=keys or p.order)
 
-        return Expr(build, self.name)
+        return Expr(lambda p: inner.build(within(p)), self.name, shortens=(lambda p: self.shortens(within(p))) if self.shortens else None)
 
     def _windowed(self, f: Callable[[Place, Column], Column]) -> Expr:
         def build(p: Place) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.errors import EngineError
 from tallyframe.functions import dtypes
 from tallyframe.functions.expr import Expr, Place, col, lit
 
@@ -65,8 +66,12 @@ class Lists:
         return self.e._typed(build)
 
     def agg(self, evaluation: str | Expr) -> Expr:
-        """A reduction by its name (sum, mean, min, max, median, std, var, len, n_unique, first, last, any, all), after eval of an expression if one is wanted."""
-        return getattr(self, evaluation)()
+        """A reduction by its name (sum, mean, min, max, median, std, var, len, n_unique, first, last, any, all), or an expression of element() that reduces."""
+        if isinstance(evaluation, str):
+            return getattr(self, evaluation)()
+        if not evaluation.reduces:
+            raise EngineError("INVALID", "agg needs an expression that reduces; for others use eval")
+        return self.e._typed(lambda p, x: evaluation.build(_Whole(p, x)))
 
     def len(self):
         return self.e.map(lambda x: F.when(x.isNotNull(), F.size(x)))
@@ -255,3 +260,22 @@ class _Inside(Place):
 
     def kind(self, c: Column) -> T.DataType:
         return self._element_kind
+
+
+class _Whole(Place):
+    """A place over a list, where expressions that reduce are the list functions of their names."""
+
+    def __init__(self, p: Place, x: Column):
+        super().__init__(p.df, p.order, "list", p.partition, p.scalars)
+        self.outer, self.values = replace(p, mode="row"), x
+
+    def reduced(self, name: str, source: Expr, args: tuple, named: dict) -> Column:
+        inside = lambda e: _Inside(self.outer, e, self.kind(self.values).elementType)
+        kept = self.values if source.pred is None else F.filter(self.values, lambda e: source.pred.build(inside(e)))
+        values = Lists(Expr(lambda p: F.transform(kept, lambda e: source.build(inside(e))), source.name))
+        if name in ("count", "null_count"):
+            some = values.drop_nulls().list.len().build(self.outer)
+            return some if name == "count" else values.len().build(self.outer) - some
+        if not hasattr(values, name):
+            raise EngineError("INVALID", f"lists have no {name}")
+        return getattr(values, name)(*args, **named).build(self.outer)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +14,11 @@ def java(pattern: str) -> str:
     return pattern.replace("(?P<", "(?<")
 
 
+def pattern_of_python(pattern: str) -> str:
+    """The pattern as Python's re takes it, to look at what it fits."""
+    return re.sub(r"\(\?<(?=[a-zA-Z])", "(?P<", pattern)
+
+
 def quoted(text: str) -> str:
     """A pattern for the text itself."""
     return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
@@ -69,14 +73,28 @@ class Strings:
         if literal:
             rest = lambda parts: F.array_join(parts, value)
             return self.e.map(lambda x: rest(F.split(x, quoted(pattern), n + 1)))
+        # The text before a match is group 1, so all references move by one.
+        found = "((?s:.*?))(?:" + re.sub(r"\\(?:([1-9]\d*)|(.))", lambda m: f"\\{int(m[1]) + 1}" if m[1] else m[0], java(pattern), flags=re.S) + ")"
         if n == 1:
-            return self.e.map(lambda x: F.regexp_replace(x, "(?s)^(.*?)(?:" + java(pattern) + ")", "$1" + _value(value, 1)))
-        mine = re.compile(pattern.replace("(?<", "(?P<") if "(?P<" not in pattern and re.search(r"\(\?<[a-zA-Z]", pattern) else pattern)
-        back = re.sub(r"\$\{?(\d+)\}?", r"\\g<\1>", value.replace("\\", r"\\"))
-
-        @F.pandas_udf("string")
-        def several(s: pd.Series) -> pd.Series:
-            return s.map(lambda x: x if x is None else mine.sub(back, x, count=n))
+            return self.e.map(lambda x: F.regexp_replace(x, "^" + found, "$1" + _value(value, 1)))
+        if re.match(pattern_of_python(pattern), ""):
+            raise EngineError("INVALID", "a pattern that fits no characters can't be replaced n times")
+
+        def several(x: Column) -> Column:
+            every = lambda group: F.slice(F.regexp_extract_all(x, F.lit(found), F.lit(group)), 1, n)
+            # The value's literal parts and references, in turns.
+            parts = re.split(r"\$\{?(\d+)\}?", value)
+            groups = [int(g) for g in parts[1::2]]
+            names = {g: f"g{g}" for g in groups if g}
+            rows = F.arrays_zip(every(0).alias("all"), every(1).alias("before"), *[every(g + 1).alias(k) for g, k in names.items()])
+
+            def one(r: Column) -> Column:
+                # $0 is the match without what stands before it.
+                got = [r[names[g]] if g else F.substr(r["all"], F.char_length(r["before"]) + 1) for g in groups]
+                return F.concat(r["before"], *[y for t, g in zip(parts[::2], [*got, F.lit("")], strict=True) for y in (F.lit(t), g)])
+
+            seen = F.aggregate(every(0), F.lit(0), lambda a, m: a + F.char_length(m))
+            return F.concat(F.array_join(F.transform(rows, one), ""), F.substr(x, seen + 1))
 
         return self.e.map(several)
 

@@ -14,11 +14,13 @@ from pyspark.sql import types as T
 
 from tallyframe.errors import EngineError, OrderError
 from tallyframe.functions import dtypes
-from tallyframe.functions.expr import Expr, Place, ValueCounts, col, lit, order_key
+from tallyframe.functions.expr import Expr, Place, ValueCounts, col, lit, order_key, rising
 
 JOINS = ("inner", "left", "right", "full", "semi", "anti", "cross")
 SAMPLED_AT_ONCE = 100_000  # rows that one sort may hold
 BUCKETS = 4096
+TRIED_ROWS = 100  # rows that a schema is found from
+MOST_PIVOTED = 10_000  # columns that a pivot finds by itself
 _SPARK_JOIN = {"semi": "left_semi", "anti": "left_anti"}
 PIVOT_AGGREGATES = ("first", "last", "sum", "min", "max", "mean", "median", "count", "len")
 
@@ -58,13 +60,9 @@ class Frame:
             raise OrderError(what)
         return Window.partitionBy(*partition).orderBy(*self._keys(reverse))
 
-    def _first_row(self) -> tuple[Callable[[Column], Column], Column]:
-        """An aggregate that finds a group's first row by the order, and what it compares; an order of one direction is needed."""
-        turned = {d for _, d, _ in self.order}
-        if len(turned) > 1:
-            raise EngineError("INVALID", "first rows need an order of one direction")
-        keys = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, (c, _, _) in enumerate(self.order)])
-        return (F.max if turned == {True} else F.min), keys
+    def _rising(self) -> Column:
+        """One value that rises in the order of rows."""
+        return F.struct(*[rising(F.col(f"`{c}`"), self.df.schema[c].dataType, d, n) for c, d, n in self.order])
 
     def _place(self, **more: Any) -> Place:
         return Place(self.df, self._keys(), **more)
@@ -153,13 +151,13 @@ class Frame:
         return self._with(rows.select(*[F.col(f"_z.`{x}`").alias(x) if x in names else F.col(f"`{x}`") for x in self.columns]))
 
     def over_exploded(self, partition: str, *exprs: Expr | str) -> Frame:
-        """Expressions over partitions with rows laid out partition by partition, in the order of their first rows: adds _row, which numbers them so."""
+        """Expressions over partitions with rows laid out partition by partition, in the order of their first rows: adds _row, a key that rises so and is the frame's order."""
         if not self.order:
             raise OrderError("over_exploded")
-        pick, keys = self._first_row()
-        first = order_key(pick(keys).over(Window.partitionBy(partition)), self.order[0][1])
+        own = self._rising()
+        at = F.struct(F.min(own).over(Window.partitionBy(partition)).alias("first"), own.alias("own"))
         found = [e.over(partition, order_by=[c for c, _, _ in self.order]) if e.reduces else e for e in _exprs(self.df, exprs)]
-        rows = self.df.select(*[e.build(self._place()).alias(e.name) for e in found], F.row_number().over(Window.orderBy(first, *self._keys())).alias("_row"))
+        rows = self.df.select(*[e.build(self._place()).alias(e.name) for e in found], at.alias("_row"))
         return Frame(rows, [("_row", False, False)])
 
     # Rows
@@ -226,11 +224,16 @@ class Frame:
         floats = self._floats()
         return self.with_columns(*[col(c).fill_nan(value) for c in floats]) if floats else self
 
-    def ffill(self, limit: int | None = None) -> Frame:
-        return self.with_columns(*[col(c).ffill(limit) for c in self.columns])
+    def ffill(self, limit: int | None = None, over: Sequence[str] = ()) -> Frame:
+        """Nulls take the value before them, at most limit in a row; within the partitions of over, which a large frame should name."""
+        return self._filled(lambda e: e.ffill(limit), over)
 
-    def bfill(self, limit: int | None = None) -> Frame:
-        return self.with_columns(*[col(c).bfill(limit) for c in self.columns])
+    def bfill(self, limit: int | None = None, over: Sequence[str] = ()) -> Frame:
+        return self._filled(lambda e: e.bfill(limit), over)
+
+    def _filled(self, f: Callable[[Expr], Expr], over: Sequence[str]) -> Frame:
+        self._known(over)
+        return self.with_columns(*[f(col(c)).over(*over) if over else f(col(c)) for c in self.columns if c not in over])
 
     def unique(self, *subset: str, keep: str = "any") -> Frame:
         """keep: any, first, last (by the order), none (rows that are alone)."""
@@ -359,10 +362,11 @@ class Frame:
         key = F.concat_ws(separator, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in on]) if len(on) > 1 else F.col(f"`{on[0]}`")
         rows = self.df.withColumn("_on", key)
         if on_columns is None:
-            pick, keys = self._first_row() if self.order else (F.min, F.col("_on"))
-            seen = rows.groupBy("_on").agg(pick(keys).alias("_first"))
-            # As many columns as a frame can have: far fewer than rows.
-            found = [r["_on"] for r in seen.orderBy(order_key(F.col("_first"), bool(self.order) and self.order[0][1]), "_on").collect()]
+            seen = rows.groupBy("_on").agg(F.min(self._rising() if self.order else F.col("_on")).alias("_first"))
+            # As many columns as a frame can have, which is checked before they are named.
+            found = [r["_on"] for r in seen.orderBy("_first", "_on").limit(MOST_PIVOTED + 1).collect()]
+            if len(found) > MOST_PIVOTED:
+                raise EngineError("INVALID", f"more than {MOST_PIVOTED} values to make columns of; name those wanted in on_columns")
         else:
             found = [separator.join(str(x) for x in (v.values() if isinstance(v, Mapping) else v)) if len(on) > 1 else v for v in on_columns]
         out = []
@@ -408,8 +412,13 @@ class Frame:
         return plan.optimizedPlan().toString() if optimized else plan.logical().toString()
 
     # User functions
-    def map_rows(self, fn: Callable[[dict], dict], schema: T.StructType | str) -> Frame:
-        """fn of each row as a dict, which gives a row of the schema; in Arrow batches."""
+    def map_rows(self, fn: Callable[[dict], dict], schema: T.StructType | str | None = None) -> Frame:
+        """fn of each row as a dict, which gives a row of the schema; in Arrow batches. Without a schema it is found from the first rows, which fn sees twice then."""
+        if schema is None:
+            tried = [fn(r.asDict(True)) for r in self.df.limit(TRIED_ROWS).collect()]
+            if not tried or None in tried:
+                raise EngineError("INVALID", "no rows to find a schema from")
+            schema = self.df.sparkSession.createDataFrame(tried).schema
         kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
         def run(batches):

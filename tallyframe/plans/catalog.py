@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -13,7 +14,9 @@ from tallyframe.functions.lists import concat_list, element
 from tallyframe.functions.udf import map_batches
 from tallyframe.operators.frame import Frame
 from tallyframe.plans.sql import SQLContext
-from tallyframe.sources.readers import scan_parquet
+from tallyframe.session import shared_folder
+from tallyframe.sources.readers import scan_csv, scan_parquet
+from tallyframe.sources.writers import write_ndjson, write_parquet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -450,9 +453,139 @@ def list_samples(read):
     return read("embeddings").select("vec_id", col("embedding").list.sample_n(5, seed=3).alias("some"))
 
 
+@query("""select k, list_sum(list_transform(l, lambda x: x * x))::bigint as squares, list_max(l) - list_min(l) as spread, list_var_samp(l) as var, list_sum(list_filter(l, lambda x: x > 1))::bigint as above
+    from (select event_id as k, [event_id % 7, event_id % 3, event_id % 5, event_id % 2 + 2] as l from events)""")
+def list_reducing_expressions(read):
+    e = col("event_id")
+    rows = read("events").select(e.alias("k"), concat_list(e % 7, e % 3, e % 5, e % 2 + 2).alias("l"))
+    x, one = col("l").list, element()
+    return rows.select("k", x.agg((one * one).sum()).alias("squares"), x.agg(one.max() - one.min()).alias("spread"), x.var().alias("var"), x.agg(one.filter(one > 1).sum()).alias("above"))
+
+
+# More of orders, windows, strings and times
+
+
+@query("""select user_id, first(event_id order by event_type desc, event_id) as first, last(event_id order by event_type desc, event_id) as last, first(event_id order by value desc, event_id) as top from events group by all""")
+def first_last_of_two_directions(read):
+    rows = read("events").select("user_id", "event_type", "event_id", "value")
+    ends = rows.ordered("event_type", "event_id", descending=[True, False]).group_by("user_id").agg(col("event_id").first().alias("first"), col("event_id").last().alias("last"))
+    return ends.join(rows.ordered("value", "event_id", descending=[True, False]).group_by("user_id").agg(col("event_id").first().alias("top")), on="user_id")
+
+
+@query("""select user_id, event_type, event_id, lag(event_id) over (partition by event_type order by f, event_id) as before from (select *, min(event_id) over (partition by user_id) as f from events)""")
+def over_laid_out(read):
+    laid = read("events").ordered("event_id").over_exploded("user_id", "user_id", "event_type", "event_id")
+    return laid.select("user_id", "event_type", "event_id", col("event_id").shift().over("event_type").alias("before"))
+
+
+@query("""select event_id, l[n - r + 1] as v from (select event_id, row_number() over (partition by user_id order by event_id) as r, count(*) over (partition by user_id) as n,
+    list(event_type) over (partition by user_id order by event_id rows between unbounded preceding and unbounded following) as l from events)""")
+def reversed_column(read):
+    return read("events").ordered("event_id").select("event_id", col("event_type").reverse().over("user_id").alias("v"))
+
+
+@query("select event_id, user_id from events order by event_id desc limit 12")
+def reversed_rows(read):
+    return read("events").select("event_id", "user_id").ordered("event_id").reverse().limit(12)
+
+
+@query("select d from (select event_id - lag(event_id, 2) over w as d, row_number() over w as r from events window w as (partition by user_id order by event_id)) where r > 2")
+def diff_without_first(read):
+    return read("events").ordered("event_id").select(col("event_id").diff(2, drop=True).over("user_id").alias("d"))
+
+
+_GAPS = "select event_id, user_id, case when event_id % 3 = 0 then event_id end as k, case when event_id % 5 = 0 then 'nan'::double when event_id % 7 = 0 then null else value end as v from events"
+
+
+def _with_gaps(read):
+    value = when(col("event_id") % 5 == 0).then(float("nan")).otherwise(when(col("event_id") % 7 == 0).then(lit(None)).otherwise(col("value")))
+    return read("events").select("event_id", "user_id", when(col("event_id") % 3 == 0).then(col("event_id")).otherwise(lit(None)).alias("k"), value.alias("v"))
+
+
+@query(f"select event_id, user_id, coalesce(k, 0) as k, case when isnan(v) then 1.5 else coalesce(v, 0) end as v from ({_GAPS})")
+def frame_fill_values(read):
+    return _with_gaps(read).fill_null(0).fill_nan(1.5)
+
+
+@query(f"""select event_id, user_id, last_value(k ignore nulls) over (w rows between 2 preceding and current row) as k, first_value(v ignore nulls) over (w rows between current row and unbounded following) as v
+    from ({_GAPS}) window w as (partition by user_id order by event_id)""")
+def frame_fills(read):
+    rows = _with_gaps(read).ordered("event_id")
+    forward = rows.select("event_id", "user_id", "k").ffill(2, over=["user_id"])
+    return forward.join(rows.select("event_id", "user_id", "v").bfill(over=["user_id"]).select("event_id", "v"), on="event_id")
+
+
+@query("""select l_returnflag, l[cast(round((n - 1) * 0.3) as bigint) + 1] as near, (l[cast(floor((n - 1) * 0.35) as bigint) + 1] + l[cast(ceil((n - 1) * 0.35) as bigint) + 1]) / 2 as mid
+    from (select l_returnflag, list_sort(list(l_quantity)) as l, count(*) as n from lineitem group by all)""")
+def quantile_methods(read):
+    q = col("l_quantity")
+    return read("lineitem").group_by("l_returnflag").agg(q.quantile(0.3, "nearest").alias("near"), q.quantile(0.35, "midpoint").alias("mid"))
+
+
+@query("""select p_partkey, regexp_replace(regexp_replace(p_name, '[aeiou]', '*'), '[aeiou]', '*') as two, regexp_replace(regexp_replace(p_name, '([aeiou])([a-z])', '\\2<#>'), '([aeiou])([a-z])', '\\2<#>') as turned,
+    case when contains(p_type, 'E') then regexp_replace(regexp_replace(p_type, 'E', 'e'), 'E', 'e') else p_type end as lit from part""")
+def replace_first_matches(read):
+    n = col("p_name").str
+    return read("part").select("p_partkey", n.replace_n("[aeiou]", "*", 2).alias("two"), n.replace_n("([aeiou])([a-z])", "$2<#>", 2).alias("turned"), col("p_type").str.replace_n("E", "e", 2, literal=True).alias("lit"))
+
+
+@query("""select o_orderkey, strftime(t, '%H:%M:%S') as s, date_trunc('month', t) + (t - date_trunc('day', t)) as a, last_day(t) + (t - date_trunc('day', t)) as z
+    from (select o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) as t from orders)""")
+def datetimes(read):
+    import pyspark.sql.functions as F
+
+    later = col("o_orderkey").map(lambda k, x: x + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod(k, F.lit(86400)).cast("decimal(18,6)")), col("o_orderdate"))
+    rows = read("orders").with_columns(t=later).with_columns(s=col("t").map(lambda t: F.date_format(t, "HH.mm.ss")))
+    return rows.select("o_orderkey", col("s").str.to_time("%H.%M.%S").cast("string").alias("s"), col("t").dt.month_start().alias("a"), col("t").dt.month_end().alias("z"))
+
+
+# Files: what a sink writes, a scan reads
+
+
+def _path(frame: Frame) -> str:
+    return f"{shared_folder(frame.df.sparkSession)}/tallyframe-{uuid.uuid4().hex}/files"
+
+
+@query("select o_orderkey, o_totalprice, case when o_orderstatus <> 'F' then o_orderpriority end as priority, cast(o_orderdate as date) as day from orders")
+def delimited_text(read):
+    orders = read("orders").select("o_orderkey", "o_totalprice", when(col("o_orderstatus") != "F").then(col("o_orderpriority")).otherwise(lit(None)).alias("priority"), col("o_orderdate").cast("date").alias("day"))
+    path = _path(orders)
+    orders.df.write.options(header=True, sep=";", nullValue="NA").csv(path)
+    return scan_csv(orders.df.sparkSession, path, separator=";", null_value="NA", try_parse_dates=True)
+
+
+@query("select c_custkey as _c0, c_name as _c1, c_acctbal as _c2 from customer")
+def delimited_text_without_heads(read):
+    customers = read("customer").select("c_custkey", "c_name", "c_acctbal")
+    path = _path(customers)
+    customers.df.write.options(header=True).csv(path)
+    return scan_csv(customers.df.sparkSession, path, has_header=False, skip_rows=1)
+
+
+@query("select event_id, event_type, case when event_id % 4 <> 0 then value end as value from events")
+def json_lines(read):
+    events = read("events").select("event_id", "event_type", when(col("event_id") % 4 != 0).then(col("value")).otherwise(lit(None)).alias("value"))
+    path = _path(events)
+    write_ndjson(events, path, "gzip")
+    return Frame(events.df.sparkSession.read.schema(events.df.schema).json(path))
+
+
+@query("select p_partkey, p_size, string_split(p_name, ' ') as words from part where p_size > 10")
+def parquet_files(read):
+    parts = read("part").select("p_partkey", "p_size", col("p_name").str.split(" ").alias("words"))
+    path = _path(parts)
+    write_parquet(parts, path)
+    return scan_parquet(parts.df.sparkSession, path).filter(col("p_size") > 10)
+
+
 # User functions and SQL
 
 
+@query("select o_orderkey, o_custkey % 10 as g, o_orderstatus || '!' as s from orders")
+def map_rows_of_found_schema(read):
+    return read("orders").select("o_orderkey", "o_custkey", "o_orderstatus").map_rows(lambda r: {"o_orderkey": r["o_orderkey"], "g": r["o_custkey"] % 10, "s": r["o_orderstatus"] + "!"})
+
+
 @query("select o_orderkey, o_totalprice * 2 as twice from orders")
 def map_batches_expression(read):
     double = lambda b: pa.RecordBatch.from_arrays([pc.multiply(b.column(0), 2.0)], ["x"])

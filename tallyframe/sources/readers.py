@@ -10,7 +10,7 @@ from functools import cached_property
 from typing import Any
 from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,31 +54,31 @@ def scan_csv(spark: SparkSession, path: str, has_header: bool = True, separator:
         options = {"header": has_header, "sep": separator, "quote": quote or "", "mode": "PERMISSIVE", "multiLine": False}
         if null_value is not None:
             options["nullValue"] = null_value
-        source: Any = path
+        lines = None
         long_comment = comment_prefix if comment_prefix and len(comment_prefix) > 1 else None
         if comment_prefix and not long_comment:
             options["comment"] = comment_prefix
-        lines = None
         if skip_rows or long_comment:
-            lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
+            # Lines of a file's first block follow one another in i, so one number for each file tells which are skipped.
+            # The driver lists all files anyway, so a row for each may be sent to all; it also leaves the lines in order, heads first.
+            lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
             if skip_rows:
-                # The first lines of each file, by a limit for each: a file's lines rise in the order they were read.
-                files = [r.f for r in lines.select("f").distinct().collect()]
-                heads = [lines.filter(F.col("f") == f).orderBy("i").limit(skip_rows).select("i") for f in files]
-                first = heads[0]
-                for h in heads[1:]:
-                    first = first.unionAll(h)
-                lines = lines.join(F.broadcast(first), "i", "left_anti")
+                starts = lines.filter("b = 0").groupBy("f").agg(F.min("i").alias("s"))
+                lines = lines.join(F.broadcast(starts), "f").filter((F.col("b") > 0) | (F.col("i") - F.col("s") >= skip_rows))
             if long_comment:
                 lines = lines.filter(~F.col("value").startswith(long_comment))
-            source = lines.orderBy("i").select("value").rdd.map(lambda r: r[0])
         if encoding == "utf8" and not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty():
             raise EngineError("INVALID", f"{path} is not valid UTF-8")
-        sample = source
-        if infer_rows is not None:
-            text = source if lines is not None else spark.read.text(path).rdd.map(lambda r: r[0])
-            sample = spark.sparkContext.parallelize(text.take(infer_rows + int(has_header)), 1)
-        found = spark.read.options(inferSchema=True, preferDate=True, **options).csv(sample).schema
+
+        def parsed(reader: DataFrameReader, rows: DataFrame | None) -> DataFrame:
+            """What a reader makes of the files, or of lines."""
+            if rows is None:
+                return reader.csv(path)
+            strings = getattr(rows.select("value")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+            return DataFrame(reader._jreader.csv(strings), spark)
+
+        sample = lines if infer_rows is None else (spark.read.text(path) if lines is None else lines).limit(infer_rows + int(has_header))
+        found = parsed(spark.read.options(inferSchema=True, preferDate=True, **options), sample).schema
         kinds = []
         for f in found:
             kind = T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType
@@ -86,7 +86,7 @@ def scan_csv(spark: SparkSession, path: str, has_header: bool = True, separator:
                 kind = T.StringType()
             kinds.append(T.StructField(f.name, dtypes.spark_type(schema[f.name]) if schema and f.name in schema else kind))
         options["mode"] = "PERMISSIVE" if ignore_errors else "FAILFAST"
-        return spark.read.options(**options).schema(T.StructType(kinds)).csv(source)
+        return parsed(spark.read.options(**options).schema(T.StructType(kinds)), lines)
 
     return LazyFrame(load)
 

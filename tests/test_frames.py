@@ -50,6 +50,57 @@ def test_first_last_need_an_order(staff):
         Frame(staff.df).group_by("department").agg(col("name").first())
 
 
+def test_first_last_under_keys_of_several_directions(spark):
+    data = {"s": ["a", "ab", None, "b", "ab"], "f": [1.0, float("nan"), 2.0, None, float("nan")], "b": [True, None, False, True, True], "i": [-(2**63), 5, 2**63 - 1, None, 4], "id": range(5)}
+    frame = rows.from_columns(spark, data)
+    for key in ("s", "f", "b", "i"):
+        for descending in (False, True):
+            for nulls_last in (False, True):
+                laid = frame.ordered(key, "id", descending=[descending, not descending], nulls_last=[nulls_last, False])
+                inner = [r[0] for r in laid.df.orderBy(*laid._keys()).select("id").collect()]
+                got = one(laid.select(col("id").first().alias("first"), col("id").last().alias("last")))
+                assert got == [(inner[0], inner[-1])], (key, descending, nulls_last)
+
+
+def test_replace_n_sees_whole_texts(spark):
+    x = col("x").str
+    got = values(spark, [x.replace_n("a(?=b)", "_", 2).alias("ahead"), x.replace_n(r"(.)\1", "<$1$0>", 2).alias("back"), x.replace(r"(.)\1", "<$1>").alias("once"), x.replace_n("q", "", 3).alias("none"), x.replace_n("(?<l>a)", "$1.", 9).alias("all")], x=["abacabaab", "", None, "xx\nyy zz"])
+    assert got[0] == ("_bac_baab", "abacab<aaa>b", "abacab<a>b", "abacabaab", "a.ba.ca.ba.a.b")
+    assert got[1] == ("",) * 5 and got[2] == (None,) * 5
+    assert got[3] == ("xx\nyy zz", "<xxx>\n<yyy> zz", "<x>\nyy zz", "xx\nyy zz", "xx\nyy zz")
+    with pytest.raises(EngineError):
+        x.replace_n("a*", "_", 2)
+
+
+def test_lists_reduced_by_expressions(spark):
+    frame = rows.from_columns(spark, {"l": [[1, 2, None, 4], [], None]})
+    e = element()
+    got = one(frame.select(col("l").list.agg((e * 2).sum() + e.count()).alias("a"), col("l").list.agg(e.filter(e > 1).len()).alias("b"), col("l").list.agg(e.null_count()).alias("c")))
+    assert got[0] == (17, 2, 1) and got[1] == (0, 0, 0)
+    with pytest.raises(EngineError):
+        col("l").list.agg(e + 1)
+    with pytest.raises(EngineError):
+        maps(frame.select(col("l").list.agg(e.quantile(0.5)).alias("a")))
+
+
+def test_lines_skipped_in_each_file(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text("junk\n" * 3 + "a,b\n" + "".join(f"{i},{j}\n" for j in range(i * 50)))
+    frame = readers.scan_csv(spark, str(tmp_path), skip_rows=3)
+    assert sorted(one(frame)) == [(i, j) for i in range(5) for j in range(i * 50)]
+    assert readers.scan_csv(spark, str(tmp_path), skip_rows=3, infer_rows=10).df.schema["b"].dataType.simpleString() == "bigint"
+
+
+def test_pivots_and_rows_of_unknown_shape(spark, monkeypatch):
+    frame = rows.from_columns(spark, {"g": [1, 1, 2], "on": ["x", "y", "z"], "v": [1, 2, 3]})
+    monkeypatch.setattr("tallyframe.operators.frame.MOST_PIVOTED", 2)
+    with pytest.raises(EngineError):
+        frame.pivot("on", "g", "v")
+    assert one(frame.map_rows(lambda r: {"w": r["v"] * 1.5})) == [(1.5,), (3.0,), (4.5,)]
+    with pytest.raises(EngineError):
+        frame.map_rows(lambda r: None)
+
+
 def test_filter_and_sort_by_in_groups(staff):
     got = staff.group_by("department").agg(col("name").filter(col("age") > 30).alias("old"), col("name").sort_by(col("age"), descending=True).alias("by_age"))
     assert one(got, "department") == [("Engineering", ["Charlie", "Eve"], ["Charlie", "Eve", "Alice"]), ("Marketing", [], ["Bob", "Frank"]), ("Sales", [], ["Diana", "Grace"])]
