@@ -523,12 +523,16 @@ class Expr:
         return self._windowed(lambda p, x: F.count(x).over(p.window("cum_count", reverse).rowsBetween(Window.unboundedPreceding, 0)))
 
     def cum_prod(self, reverse: bool = False):
-        """Exact for integers within 64 bits, as magnitudes and signs of logarithms wouldn't be: a product of the running list."""
+        """Exact for integers within 64 bits. These fold the running list of the factors other than 1, of which 64 overflow, so it stays short unless a zero comes before; other numbers keep one product."""
 
         def build(p: Place, x: Column) -> Column:
-            seen = F.collect_list(x).over(p.window("cum_prod", reverse).rowsBetween(Window.unboundedPreceding, 0))
-            one = F.lit(1).cast("long" if dtypes.is_integer(p.kind(x)) else "double")
-            return F.when(x.isNotNull(), F.aggregate(seen, one, lambda a, b: a * b))
+            w = p.window("cum_prod", reverse).rowsBetween(Window.unboundedPreceding, 0)
+            if not dtypes.is_integer(p.kind(x)):
+                return F.when(x.isNotNull(), F.product(x.cast("double")).over(w))
+            # Factors of -1 only turn the sign.
+            seen = F.collect_list(F.when(~x.isin(1, -1), x.cast("long"))).over(w)
+            sign = F.when(F.count_if(x == -1).over(w) % 2 == 1, -1).otherwise(1).cast("long")
+            return F.when(x.isNotNull(), F.aggregate(seen, sign, lambda a, b: a * b))
 
         return self._windowed(build)
 

@@ -8,6 +8,7 @@ from functools import reduce
 from typing import Any
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,7 @@ class Frame:
 
     def __init__(self, df: DataFrame, order: Sequence[tuple[str, bool, bool]] = ()):
         self.df, self.order = df, [k for k in order if k[0] in df.columns]
+        self.kept: DataFrame | None = None  # rows kept for this frame, which free gives up
 
     # The order of rows
     def ordered(self, *by: str, descending: bool | Sequence[bool] = False, nulls_last: bool | Sequence[bool] = False) -> Frame:
@@ -163,7 +165,7 @@ class Frame:
     # Rows
     def limit(self, n: int) -> Frame:
         """n rows, the first by the order if there is one."""
-        return self._with((self.df.orderBy(*self._keys()) if self.order else self.df).limit(n))
+        return self.slice(0, n) if self.order else self._with(self.df.limit(n))
 
     def head(self, n: int = 5) -> Frame:
         return self.limit(n)
@@ -171,15 +173,17 @@ class Frame:
     def tail(self, n: int = 5) -> Frame:
         if not self.order:
             raise OrderError("tail")
-        return self._with(self.df.orderBy(*self._keys(reverse=True)).limit(n))
+        return self.slice(-n) if n else self.limit(0)
 
     def slice(self, offset: int, length: int | None = None) -> Frame:
-        """From an offset, which counts from the end if negative."""
+        """From an offset, which counts from the end if negative. A slice that reaches further than one sort may hold is cut from ranges of rows."""
         if not self.order:
             raise OrderError("slice")
+        reach = -offset if offset < 0 else None if length is None else offset + length
+        if reach is None or reach > SAMPLED_AT_ONCE:
+            return self._cut(offset, length)
         if offset >= 0:
-            rows = self.df.orderBy(*self._keys()).offset(offset)
-            return self._with(rows.limit(length) if length is not None else rows)
+            return self._with(self.df.orderBy(*self._keys()).offset(offset).limit(length))
         last = self.df.orderBy(*self._keys(reverse=True)).limit(-offset)
         if length is None or length >= -offset:
             return self._with(last)
@@ -187,6 +191,17 @@ class Frame:
         missing = -offset - last.count()
         return self._with(last.orderBy(*self._keys()).limit(max(0, length - missing)))
 
+    def _cut(self, offset: int, length: int | None) -> Frame:
+        """A slice by row numbers. The sorted rows are kept on disk, as a second sort might divide them into other ranges; free gives the room back."""
+        kept = self.df.orderBy(*self._keys()).persist(StorageLevel.DISK_ONLY)
+        start = offset if offset >= 0 else offset + kept.count()
+        rows = Frame(kept)._numbered().filter(F.col("_at") >= start)
+        if length is not None:
+            rows = rows.filter(F.col("_at") < start + length)
+        out = self._with(rows.select(*[F.col(f"`{c}`") for c in self.columns]))
+        out.kept = kept
+        return out
+
     def reverse(self) -> Frame:
         if not self.order:
             raise OrderError("reverse")
@@ -460,6 +475,8 @@ class Frame:
 
     def free(self) -> None:
         self.df.unpersist()
+        if self.kept is not None:
+            self.kept.unpersist()
 
 
 def _one(batches) -> pa.RecordBatch:

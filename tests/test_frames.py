@@ -5,6 +5,7 @@ import datetime
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tallyframe.errors import EngineError, OrderError, ValidationError
@@ -171,6 +172,38 @@ def test_rows(spark):
             bad()
 
 
+def test_far_slices(spark, monkeypatch):
+    frame = Frame(spark.range(0, 300, 1, 7).select((F.col("id") * 7 % 300).alias("id"), F.lit("x").alias("_x"))).ordered("id", descending=True)
+    want = [*range(299, -1, -1)]
+    ids = lambda f: [r["id"] for r in maps(f)]
+    spans = [(0, 40), (250, 100), (120, None), (400, 5), (-90, 20), (-400, 150), (-400, 50), (-30, None), (0, 0)]
+    got = [sorted(ids(frame.slice(*s))) for s in spans]
+    monkeypatch.setattr("tallyframe.operators.frame.SAMPLED_AT_ONCE", 10)
+    for (at, n), few in zip(spans, got, strict=True):
+        start = at if at >= 0 else at + 300
+        full = want[max(start, 0) : max(start + n, 0) if n is not None else None]
+        cut = frame.slice(at, n)
+        assert sorted(ids(cut)) == few == sorted(full), (at, n)
+        cut.free()
+    assert sorted(ids(frame.tail(70))) == [*range(70)] and sorted(ids(frame.head(70))) == [*range(230, 300)]
+    assert ids(frame.tail(0)) == [] and ids(Frame(frame.df.limit(0)).ordered("id").slice(-20)) == []
+
+
+def test_running_products(spark):
+    xs = [-1, 3, None, -1, 1, -5, 2**40, 0, 2**62, 7]
+    frame = rows.from_columns(spark, {"i": range(10), "x": xs, "f": [None if x is None else x / 2 for x in xs]}).ordered("i")
+    want, floats, at, f = [], [], 1, 1.0
+    for x in xs[:7]:
+        at, f = (at, f) if x is None else (at * x, f * (x / 2))
+        want.append(None if x is None else at)
+        floats.append(None if x is None else f)
+    got = one(frame.limit(7).select(col("x").cum_prod().alias("x"), col("f").cum_prod().alias("f")))
+    assert got == [*zip(want, floats, strict=True)]
+    assert [r[0] for r in one(frame.select(col("x").cum_prod().alias("x")))][7:] == [0, 0, 0]
+    with pytest.raises(Exception, match="OVERFLOW"):
+        one(rows.from_columns(spark, {"i": range(70), "x": [2] * 70}).ordered("i").select(col("x").cum_prod().alias("x")))
+
+
 def test_nulls_sort_first_unless_last(spark):
     frame = rows.from_columns(spark, {"x": [10, None, 5]})
     order = lambda **o: [r["x"] for r in maps(frame.sort("x", **o))]
