@@ -240,15 +240,31 @@ class Frame:
         return self.with_columns(*[col(c).fill_nan(value) for c in floats]) if floats else self
 
     def ffill(self, limit: int | None = None, over: Sequence[str] = ()) -> Frame:
-        """Nulls take the value before them, at most limit in a row; within the partitions of over, which a large frame should name."""
-        return self._filled(lambda e: e.ffill(limit), over)
+        """Nulls take the value before them, at most limit in a row; within the partitions of over, if given."""
+        return self._filled(False, limit, over)
 
     def bfill(self, limit: int | None = None, over: Sequence[str] = ()) -> Frame:
-        return self._filled(lambda e: e.bfill(limit), over)
+        return self._filled(True, limit, over)
 
-    def _filled(self, f: Callable[[Expr], Expr], over: Sequence[str]) -> Frame:
+    def _filled(self, back: bool, limit: int | None, over: Sequence[str]) -> Frame:
+        """Without over, ranges of the sorted rows are filled each by itself and from the last values before it, one row a range; the sorted rows are kept on disk until free."""
         self._known(over)
-        return self.with_columns(*[f(col(c)).over(*over) if over else f(col(c)) for c in self.columns if c not in over])
+        if over:
+            return self.with_columns(*[(col(c).bfill(limit) if back else col(c).ffill(limit)).over(*over) for c in self.columns if c not in over])
+        if not self.order:
+            raise OrderError("bfill" if back else "ffill")
+        kept = self.df.orderBy(*self._keys(reverse=back)).persist(StorageLevel.DISK_ONLY)
+        rows = Frame(kept)._numbered()
+        seen = [F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.col("_at").alias("at"), F.col(f"`{c}`").alias("x"))) for c in self.columns]
+        ends = rows.groupBy("_p").agg(*[F.max_by(x, x["at"]).alias(f"_e{i}") for i, x in enumerate(seen)])
+        before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select("_p", *[F.last(f"_e{i}", ignorenulls=True).over(before).alias(f"_e{i}") for i in range(len(seen))])
+        within = Window.partitionBy("_p").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+        last = [F.coalesce(F.last(x, ignorenulls=True).over(within), F.col(f"_e{i}")) for i, x in enumerate(seen)]
+        near = [x["x"] if limit is None else F.when(F.col("_at") - x["at"] <= limit, x["x"]) for x in last]
+        out = self._with(rows.join(ends, "_p").select(*[x.alias(c) for c, x in zip(self.columns, near, strict=True)]))
+        out.kept = kept
+        return out
 
     def unique(self, *subset: str, keep: str = "any") -> Frame:
         """keep: any, first, last (by the order), none (rows that are alone)."""
@@ -291,7 +307,7 @@ class Frame:
         return self.sample_n(round(self.df.count() * fraction), seed, with_replacement)
 
     def _numbered(self) -> DataFrame:
-        """Rows with a number from 0 in _at, without a window over the frame."""
+        """Rows with their partition in _p and a number from 0 in _at, without a window over the frame."""
         part = self.df.withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
         sizes = {r["_p"]: r["count"] for r in part.groupBy("_p").count().collect()}
         starts, at = [], 0
@@ -299,7 +315,7 @@ class Frame:
             starts.append((p, at))
             at += sizes[p]
         lookup = self.df.sparkSession.createDataFrame(starts, "_p int, _s long")
-        return part.join(F.broadcast(lookup), "_p").withColumn("_at", F.col("_s") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_p", "_m", "_s")
+        return part.join(F.broadcast(lookup), "_p").withColumn("_at", F.col("_s") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m", "_s")
 
     # Groups
     def group_by(self, *keys: Expr | str) -> Groups:

@@ -189,6 +189,26 @@ def test_far_slices(spark, monkeypatch):
     assert ids(frame.tail(0)) == [] and ids(Frame(frame.df.limit(0)).ordered("id").slice(-20)) == []
 
 
+def test_fills_across_ranges(spark):
+    xs = [None if i % 11 else i for i in range(1, 200)]
+    frame = Frame(spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x int").repartition(5)).ordered("i", descending=True)
+
+    def plain(values, limit):
+        out, last, far = [], None, 0
+        for v in values:
+            last, far = (v, 0) if v is not None else (last, far + 1)
+            out.append(last if limit is None or far <= limit else None)
+        return out
+
+    for limit in (None, 0, 3):
+        # The order descends, so that filling forward goes from the end.
+        forward = [r["x"] for r in maps(frame.ffill(limit).select("i", "x"))]
+        assert forward == plain(xs[::-1], limit)
+        assert [r["x"] for r in maps(frame.bfill(limit))] == plain(xs, limit)[::-1]
+    with pytest.raises(OrderError):
+        Frame(frame.df).ffill()
+
+
 def test_running_products(spark):
     xs = [-1, 3, None, -1, 1, -5, 2**40, 0, 2**62, 7]
     frame = rows.from_columns(spark, {"i": range(10), "x": xs, "f": [None if x is None else x / 2 for x in xs]}).ordered("i")
