@@ -21,20 +21,17 @@ which one of them has at most s such parts. Only at the last level are empty pai
    which two sketches differ are never more than the shingles in which the sets do. What may still be
    similar is compared on whole sets. The links' components follow.
 4. A run whose rows are in different components then may hold links that its first row doesn't
-   show. Its rows are dealt anew, by their rarest shingles: in any fixed order of shingles, two
-   similar sets have one in common among the first n - ceil(similarity * n) + 1 of each. So rows that
-   share a signature by a frequent passage alone part. The order goes by counts of hashed shingles;
-   where these are wrong, more is compared, never less. Of the rows that share such a shingle, in
-   the same band or the next, those outside their largest component are compared with all by their
-   sketches, in cells of some thousand rows, and what may be similar on whole sets: first the nearest
-   of each other component, then, between components that are still apart, all. A run of two rows
-   needs none of this.
+   show. Such runs are found again by the signatures of the rows involved; the rows outside a run's
+   largest component are compared with all its rows by their sketches, in cells of some thousand
+   rows, and what may be similar on whole sets: first the nearest of each other component, then,
+   between components that are still apart, all, in the runs alone that hold a row for which others
+   were left out. A run of two rows needs none of this.
 Similar sets are then in one component, and no others.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +45,6 @@ CELLS = 3
 LEVELS = 8
 HUB_ROWS = 64
 CELL_ROWS = 4096
-BUCKETS = 1 << 17
 NEAREST = 4
 SIGNATURES = 500_000
 BROADCAST_ROWS = 2_000_000
@@ -149,27 +145,6 @@ def signatures(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np
     return found[order], np.searchsorted(rows[order], np.arange(len(starts)))
 
 
-def _buckets(values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places of all shingles in the table of counts, and where each set's begin."""
-    return values & np.uint64(BUCKETS - 1), starts
-
-
-def rarest(counts: np.ndarray, values: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """A key for each of a set's first shingles by (count of its bucket, hash), for its own band and the next, and where each set's begin.
-
-    Two similar sets share at least ceil(percent / 100 * n) shingles, n being the size of either, so they share one of the
-    first n - ceil(percent / 100 * n) + 1 of each.
-    """
-    sizes = np.diff(starts)
-    take = np.where(sizes > 0, sizes - (sizes * percent + 99) // 100 + 1, 0)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((values, counts[(values & np.uint64(len(counts) - 1)).astype(np.int64)], row))
-    first = order[np.arange(len(values)) - starts[row] < take[row]]
-    own = np.searchsorted(bands(percent, int(sizes.max(initial=1)) * 100 // percent + 2), sizes)[row[first]]
-    keys = [mix(mix(values[first] + np.uint64(0xF1257)) + (own + extra).astype(np.uint64)) for extra in (0, 1)]
-    return np.stack(keys, axis=1).ravel(), np.concatenate([[0], np.cumsum(2 * take)])
-
-
 def sketch(values: np.ndarray) -> bytes:
     """A bit for each place of a table of two to four places a shingle: whether an odd number of the shingles fall there."""
     size = max(128, 1 << int(2 * len(values) - 1).bit_length()) if len(values) else 128
@@ -206,8 +181,8 @@ def _sets(documents: DataFrame, id_col: str, text_col: str, words: int) -> DataF
     return documents.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n long, k1 long, k2 long, sketch binary")
 
 
-def _signed(documents: DataFrame, emit, kind: str, ids: DataFrame, id_col: str, text_col: str, words: int, percent: int, sign=signatures) -> DataFrame:
-    """What emit makes of some rows' (signature, row of the batch), sorted, and the columns of ids, for the documents with these ids. sign: what counts as a set's signatures."""
+def _signed(documents: DataFrame, emit, kind: str, ids: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """What emit makes of some rows' (signature, row of the batch), sorted, and the columns of ids, for the documents with these ids."""
     columns = [c for c in ids.columns if c != "id"]
 
     def run(batches):
@@ -222,7 +197,7 @@ def _signed(documents: DataFrame, emit, kind: str, ids: DataFrame, id_col: str,
                 return pa.RecordBatch.from_arrays([pa.array(x) for x in got.values()], [*got])
 
             for piece in texts(b.column(1)):
-                sigs, at = sign(*shingle_sets(piece, words), percent)
+                sigs, at = signatures(*shingle_sets(piece, words), percent)
                 found.append(sigs)
                 owners.append(np.repeat(np.arange(piece.first, piece.first + len(piece)), np.diff(at)))
                 many += len(sigs)
@@ -411,21 +386,27 @@ def _apart(runs: DataFrame, sketches: DataFrame, roots: DataFrame, percent: int,
     return cells_of.mapInArrow(run, "hub long, id long, more boolean").groupBy("hub", "id").agg(F.max("more").alias("more"))
 
 
+def _left_out(runs: DataFrame, tested: DataFrame) -> DataFrame:
+    """The runs that hold a row for which _apart left others out: each pair that was left out is in one of them."""
+    ids = tested.filter("more").select(F.explode(F.array("hub", "id")).alias("id")).distinct()
+    sigs = keep(runs.join(small(ids, BROADCAST_ROWS), "id").select("sig").distinct(), "left_out")
+    out = keep(runs.join(small(sigs, BROADCAST_ROWS), "sig"), "runs")
+    discard(sigs)
+    return out
+
+
 def _open_runs(documents: DataFrame, involved: DataFrame, named: dict) -> DataFrame:
-    """(sig, id) of the keys of rarest shingles that the ids of involved (id, root) share across roots; rare is what few of these ids hold."""
-
-    def count(sig, row, ids):
-        found, n = np.unique(sig, return_counts=True)
-        return {"sig": found, "n": n}
-
-    held = _signed(documents, count, "sig long, n long", involved.select("id"), **named, sign=_buckets).groupBy("sig").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(BUCKETS, dtype=np.uint32)
-    counts[held.column("sig").to_numpy()] = np.minimum(held.column("n").to_numpy(), 0xFFFFFFFF)
-    rows = _signed(documents, lambda sig, row, ids, roots: {"sig": sig, "id": ids[row], "root": roots[row]}, "sig long, id long, root long", involved, **named, sign=partial(rarest, counts))
-    rows = keep(rows, "rarest")
-    shared = keep(rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("sig"), "open")
-    out = keep(rows.select("sig", "id").join(small(shared, BROADCAST_ROWS), "sig").distinct(), "runs")
-    discard(rows, shared)
+    """(sig, id) of the signatures that the ids of involved (id, root) share across roots."""
+
+    def roots_of(sig, row, ids, roots):
+        both = np.unique(np.stack([sig, roots[row]]), axis=1)
+        return {"sig": both[0], "root": both[1]}
+
+    of_roots = _signed(documents, roots_of, "sig long, root long", involved, **named)
+    shared = keep(of_roots.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("sig"), "open")
+    rows = _signed(documents, lambda sig, row, ids: {"sig": sig, "id": ids[row]}, "sig long, id long", involved.select("id"), **named)
+    out = keep(rows.join(small(shared, BROADCAST_ROWS), "sig").distinct(), "runs")
+    discard(shared)
     return out
 
 
@@ -482,8 +463,10 @@ def similar_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
             if not links[-1].isEmpty():
                 old, roots = roots, connected_components(every, "hub", "id")
                 discard(old)
-            if tested[-1].filter("more").isEmpty():
+            if nearest is None or tested[-1].filter("more").isEmpty():
                 break
+            whole, runs = runs, _left_out(runs, tested[-1])
+            discard(whole)
         discard(runs, *tested)
     discard(pairs, sketches, ends, *links)
     final = reps.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")

@@ -350,31 +350,19 @@ def test_jaccard_in_small_cells(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute_components(word_sets(texts, 5), 80)
 
 
-def test_jaccard_parts_rows_of_a_common_passage(spark, monkeypatch):
-    rng = random.Random(11)
-    passage = " ".join(rng.choice(WORDS) for _ in range(24))
-    own = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(16)) for _ in range(150)]
-    texts = [f"{passage} {t}" for t in own] + [f"{passage} {t} end" for t in own[::10]]
-    seen, before = [], jaccard._open_runs
-    monkeypatch.setattr(jaccard, "_open_runs", lambda *args: seen.append(before(*args)) or seen[-1])
-    monkeypatch.setattr(jaccard, "discard", lambda *tables: None)
+def test_jaccard_second_pass_takes_runs_with_rows_left_out(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "NEAREST", 1)
+    rng = random.Random(43)
+    some = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage, base = some(24), some(44)
+    texts = [f"{passage} {some(16)}" for _ in range(60)]
+    # Copies by a first word, and rows just below the similarity with all of them.
+    texts += [f"{some(1)} {base} last six words of a copy" for _ in range(12)] + [f"{base} {some(6)}" for _ in range(100)]
+    rows, before = [], jaccard._apart
+    monkeypatch.setattr(jaccard, "_apart", lambda runs, *args: rows.append(runs.count()) or before(runs, *args))
     got = {r.doc_id: r.component_id for r in jaccard.similar_sets(documents(spark, texts), words=5, percent=80).collect()}
     assert [got[i] for i in range(len(texts))] == brute_components(word_sets(texts, 5), 80)
-    assert len(seen) == 1
-    assert max([0, *(r["count"] for r in seen[0].groupBy("sig").count().collect())]) <= 2
-
-
-def test_rarest_shingles_meet():
-    rng = np.random.default_rng(5)
-    counts = rng.integers(0, 4, 64).astype(np.uint32)
-    for n in range(1, 80):
-        base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
-        for cut in {0, n // 10, n // 5}:
-            a, b = base, np.unique(np.concatenate([base[cut:], rng.integers(0, 1 << 63, n // 20).astype(np.uint64)]))
-            shared = len(np.intersect1d(a, b))
-            if 100 * shared >= 80 * (len(a) + len(b) - shared):
-                keys, at = jaccard.rarest(counts, np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 80)
-                assert at[-1] == len(keys) and np.intersect1d(keys[: at[1]], keys[at[1] :]).size
+    assert len(rows) == 2 and 0 < rows[1] < rows[0]
 
 
 def test_sketches_bound_differences():
