@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import shared_folder
 
-CHUNK_BYTES = 2 << 20
+#: Hashing takes some dozen times a piece's bytes, which each Python worker then holds; pieces of this size also stay in the processor's cache.
+CHUNK_BYTES = 256 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -27,21 +28,27 @@ LOWER[0x41:0x5B] += 32
 
 #: Spark's setting under which a query's shuffle files go when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting of the bytes from which a batch for Python is sent.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
     """Write df as a Parquet table into the shared folder and read it back: its lineage ends here, and lost executors cost nothing.
 
     What was shuffled for it goes when it is written. discard() deletes the table itself.
+    batch_bytes: Python gets batches of about so many bytes, else those of the session's settings.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tallyframe-{uuid.uuid4().hex}/{name}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    own = {_CLEANUP: "true"} | ({_BATCH: str(batch_bytes)} if batch_bytes else {})
+    before = {key: spark.conf.get(key, "false") if key == _CLEANUP else spark.conf.get(key) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     out = spark.read.schema(df.schema).parquet(path)
     out.kept_at = path
     return out

@@ -47,6 +47,8 @@ HUB_ROWS = 64
 CELL_ROWS = 4096
 NEAREST = 4
 SIGNATURES = 500_000
+#: Of texts and sets for Python at once; a partition of documents would else be one batch, held by the executor and by its workers.
+BATCH_BYTES = 4 << 20
 BROADCAST_ROWS = 2_000_000
 
 
@@ -186,26 +188,31 @@ def _signed(documents: DataFrame, emit, kind: str, ids: DataFrame, id_col: str,
     columns = [c for c in ids.columns if c != "id"]
 
     def run(batches):
-        for b in batches:
-            own = [b.column(c).to_numpy(zero_copy_only=False) for c in ("id", *columns)]
-            found, owners, many = [], [], 0
+        found, owners, many = [], [], 0
+        held, before = [], 0  # the columns of the batches in found, and the rows of those but the last
 
-            def out():
-                sig, row = np.concatenate(found).view(np.int64), np.concatenate(owners)
-                order = np.argsort(sig, kind="stable")
-                got = emit(sig[order], row[order], *own)
-                return pa.RecordBatch.from_arrays([pa.array(x) for x in got.values()], [*got])
+        def out():
+            sig, row = np.concatenate(found).view(np.int64), np.concatenate(owners)
+            found.clear()
+            owners.clear()
+            order = np.argsort(sig, kind="stable")
+            got = emit(sig[order], row[order], *(np.concatenate(x) for x in zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in got.values()], [*got])
 
-            for piece in texts(b.column(1)):
+        for b in batches:
+            # Copies, as a batch's columns share its memory.
+            held.append([np.array(b.column(c)) for c in ("id", *columns)])
+            for piece in texts(b.column("_text")):
                 sigs, at = signatures(*shingle_sets(piece, words), percent)
                 found.append(sigs)
-                owners.append(np.repeat(np.arange(piece.first, piece.first + len(piece)), np.diff(at)))
+                owners.append(np.repeat(np.arange(before + piece.first, before + piece.first + len(piece)), np.diff(at)))
                 many += len(sigs)
                 if many > SIGNATURES:
                     yield out()
-                    found, owners, many = [], [], 0
-            if many:
-                yield out()
+                    held, before, many = held[-1:], 0, 0
+            before += b.num_rows
+        if many:
+            yield out()
 
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).join(small(ids, BROADCAST_ROWS), "id")
     return rows.select("id", "_text", *columns).mapInArrow(run, kind)
@@ -316,7 +323,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, id_col: str, text_col: str
 
     wanted = keep(_grouped(pairs), "wanted")
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).join(small(wanted, BROADCAST_ROWS), "id")
-    out = keep(_tested(rows.select("hub", "block", "member", "id", "_text").mapInArrow(sets, "hub long, block long, member boolean, id long, n long, v binary"), test), "links")
+    out = keep(_tested(rows.select("hub", "block", "member", "id", "_text").mapInArrow(sets, "hub long, block long, member boolean, id long, n long, v binary"), test), "links", BATCH_BYTES)
     discard(wanted)
     return out
 
@@ -403,9 +410,9 @@ def _open_runs(documents: DataFrame, involved: DataFrame, named: dict) -> DataFr
         return {"sig": both[0], "root": both[1]}
 
     of_roots = _signed(documents, roots_of, "sig long, root long", involved, **named)
-    shared = keep(of_roots.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("sig"), "open")
+    shared = keep(of_roots.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("sig"), "open", BATCH_BYTES)
     rows = _signed(documents, lambda sig, row, ids: {"sig": sig, "id": ids[row]}, "sig long, id long", involved.select("id"), **named)
-    out = keep(rows.join(small(shared, BROADCAST_ROWS), "sig").distinct(), "runs")
+    out = keep(rows.join(small(shared, BROADCAST_ROWS), "sig").distinct(), "runs", BATCH_BYTES)
     discard(shared)
     return out
 
@@ -422,18 +429,18 @@ def similar_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     Shingles are compared by 64-bit hashes.
     """
     named = {"id_col": id_col, "text_col": text_col, "words": words, "percent": percent}
-    base = keep(_sets(documents, id_col, text_col, words), "sets")
+    base = keep(_sets(documents, id_col, text_col, words), "sets", BATCH_BYTES)
     # Stored, so that the join shuffles it anew and adaptive execution can split a large group of equal sets.
     nodes = keep(base.filter("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "nodes")
     reps = keep(base.drop("sketch").join(nodes.drop("n"), ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "named")
     alone = nodes.filter(F.col("n") * (100 - percent) >= percent).select(F.col("rep").alias("id")).filter("id is not null").distinct()
     signed = _signed(documents, _combined, "sig long, id long", alone, **named).repartition("sig").sortWithinPartitions("sig", "id")
-    pairs = keep(signed.mapInArrow(_runs, "hub long, id long, closed boolean").groupBy("hub", "id").agg(F.min("closed").alias("closed")), "candidates")
+    pairs = keep(signed.mapInArrow(_runs, "hub long, id long, closed boolean").groupBy("hub", "id").agg(F.min("closed").alias("closed")), "candidates", BATCH_BYTES)
     involved = pairs.select(F.explode(F.array("hub", "id")).alias("id")).distinct()
     sketches = keep(base.select("id", "n", "sketch").join(small(keep(involved, "involved"), BROADCAST_ROWS), "id", "left_semi"), "sketches")
     discard(base, nodes)
 
-    maybe = keep(_by_sketch(pairs, sketches, percent), "maybe")
+    maybe = keep(_by_sketch(pairs, sketches, percent), "maybe", BATCH_BYTES)
     links = [_verified(maybe, documents, id_col, text_col, words, percent)]
     discard(maybe)
     # Rows with equal ids whose sets differ.
@@ -453,7 +460,7 @@ def similar_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
             maybe = _apart(runs, sketches, roots.select(F.col("node").alias("id"), "root"), percent, nearest)
             for before in tested:
                 maybe = maybe.join(before, ["hub", "id"], "left_anti")
-            tested.append(keep(maybe, "maybe"))
+            tested.append(keep(maybe, "maybe", BATCH_BYTES))
             if tested[-1].isEmpty():
                 break
             links.append(_verified(tested[-1].drop("more"), documents, id_col, text_col, words, percent))

@@ -175,14 +175,13 @@ def drop_toxic(documents: DataFrame, model: Model, threshold: float = 0.5, id_co
     def run(batches):
         table = sent.value.table()
         for b in batches:
-            kept = np.ones(b.num_rows, dtype=bool)
             for piece in texts(b.column(b.schema.get_field_index("_text"))):
                 row, feature = _features(piece, sent.value.bits)
                 has = table[feature] != 0
                 row, feature = _distinct(row[has], feature[has], sent.value.bits)
                 total = np.bincount(row, weights=table[feature], minlength=len(piece)) + sent.value.bias
-                kept[piece.first : piece.first + len(piece)] = _sigmoid(total) < threshold
-            yield b.filter(pa.array(kept))
+                # By pieces, so that no second batch of texts is held here and in the executor.
+                yield b.slice(piece.first, len(piece)).filter(pa.array(_sigmoid(total) < threshold))
 
     names = [f"_c{i}" if c != text_col else "_text" for i, c in enumerate(documents.columns)]
     rows = documents.toDF(*names)

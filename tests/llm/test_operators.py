@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -350,6 +351,19 @@ def test_jaccard_in_small_cells(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute_components(word_sets(texts, 5), 80)
 
 
+def test_jaccard_in_small_batches(spark, monkeypatch):
+    """Batches cut by bytes and signatures combined over several of them give the same components; the session's setting stays."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    for name, n in (("BATCH_BYTES", 6_000), ("SIGNATURES", 1_000)):
+        monkeypatch.setattr(jaccard, name, n)
+    rng = random.Random(44)
+    texts = [t for size, many, change in ((14, 60, 3), (45, 80, 7), (160, 60, 12)) for t in near_copies(rng, many, size, change)]
+    texts[5] = None
+    got = {r.doc_id: r.component_id for r in jaccard.similar_sets(documents(spark, texts).coalesce(1), words=5, percent=80).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(word_sets(texts, 5), 80)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_jaccard_second_pass_takes_runs_with_rows_left_out(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "NEAREST", 1)
     rng = random.Random(43)
@@ -832,3 +846,31 @@ def test_arrow_texts_are_split_by_size():
     assert sum(len(p) for p in pieces) == 4
     assert [p.words(~SPACE)[1].tolist()[-1] for p in pieces] == [2, 1, 1] or sum(p.words(~SPACE)[1][-1] for p in pieces) == 4
     assert isinstance(pd.Series([1]).iloc[0], np.int64)
+
+
+def test_pieces_of_texts_take_little_memory():
+    """Hashing a batch of texts holds some megabytes at a time, whatever the batch's size."""
+    from tallyframe.llm.common import texts
+
+    column = pa.array([" ".join(f"word{(i * j) % 7919}" for j in range(600)) for i in range(1500)])
+    assert column.nbytes > 5e6
+    for work in (lambda p: toxicity._distinct(*toxicity._features(p, 18), 18), lambda p: jaccard.signatures(*jaccard.shingle_sets(p, 5), 80)):
+        work(next(texts(column)))
+        tracemalloc.start()
+        try:
+            for piece in texts(column):
+                work(piece)
+            assert tracemalloc.get_traced_memory()[1] < 32e6
+        finally:
+            tracemalloc.stop()
+
+
+def test_drop_toxic_by_pieces(spark):
+    """Rows of one batch of several pieces, a long one and nulls among them, stay or go by their own scores."""
+    from tallyframe.llm.common import texts
+
+    mark = np.unique(toxicity._features(next(texts(pa.array(["bad bad"]))), 18)[1]).astype(np.int32)
+    model = toxicity.Model(18, mark, np.full(len(mark), 5.0), -1.0)
+    rows = [(i, None if i % 50 == 7 else ("bad " if i % 3 == 0 else "good ") * (200_000 if i == 42 else 1_000)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(r.doc_id for r in toxicity.drop_toxic(docs, model).select("doc_id").collect()) == [i for i, t in rows if not (t or "").startswith("bad")]
